@@ -107,3 +107,10 @@ def test_rejected_pages(spark):
                                   "entity string, parent_id string, page_no long, body string")
     assert L.rejected_pages(pages).count() == 1
     assert L.explode_pages(pages).count() == 0
+
+
+def test_complete_parents_root_scoped(spark):
+    base = spark.createDataFrame([(0, False)], "page int, has_next boolean")
+    pages = A.landing(base, "account", None, F.col("page"), [A.rec(id=F.lit("act_1"))])
+    recs = L.keep_complete(L.explode_pages(pages), pages)
+    assert recs.count() == 1

@@ -155,7 +155,7 @@ def q_metric_last_value(spark, sf):
     """SRC-8: values[-1].value, else value; then the latest record per (parent, metric)."""
     ev = A.table(spark, sf, "events")
     odd = (F.col("event_id") % 2) == 1
-    v = A.json_value(F.col("value"))
+    v = A.json_num(F.col("value"))
     values = F.when(odd, F.concat(F.lit('[{"value":"junk"},{"value":'), v, F.lit("}]"))).otherwise(F.lit("[]"))
     record = A.rec_text({"name": A.json_value(F.col("event_type")), "values": values,
                          "value": F.when(~odd, v)})
@@ -316,8 +316,8 @@ def _actions_text() -> F.Column:
     """Ad-insight actions: two lead entries plus a click when the return flag
     is N, else a click and a lead with a non-numeric value."""
     leads = F.concat(
-        F.lit('[{"action_type":"lead","value":'), A.json_value(F.col("l_quantity")),
-        F.lit('},{"action_type":"lead","value":'), A.json_value(F.col("l_linenumber")),
+        F.lit('[{"action_type":"lead","value":'), A.json_num(F.col("l_quantity")),
+        F.lit('},{"action_type":"lead","value":'), A.json_num(F.col("l_linenumber")),
         F.lit('},{"action_type":"click","value":1}]'))
     no_leads = F.lit('[{"action_type":"click","value":1},{"action_type":"lead","value":"bad"}]')
     return F.when(F.col("l_returnflag") == "N", leads).otherwise(no_leads)
@@ -331,8 +331,8 @@ def _ad_insight_pages(li: DataFrame) -> DataFrame:
         "ad_id": A.json_value(F.col("l_partkey").cast("string")),
         "account_id": A.json_value(F.concat(F.lit("act_"), F.col("l_suppkey").cast("string"))),
         "date_start": A.json_value(F.date_format("l_shipdate", "yyyy-MM-dd")),
-        "spend": A.json_value(F.col("l_extendedprice")),
-        "impressions": A.json_value(F.col("l_quantity")),
+        "spend": A.json_num(F.col("l_extendedprice")),
+        "impressions": A.json_num(F.col("l_quantity")),
         "actions": _actions_text(),
     })
     return A.landing(li, "ad_insight", _pad(F.col("l_orderkey")),
@@ -357,7 +357,7 @@ def q_ad_insights_daily(spark, sf):
 def _page_insight_pages(ev: DataFrame) -> DataFrame:
     end_time = A.iso_utc(F.col("ts") + F.make_dt_interval(days=F.lit(1)))
     values = F.concat(F.lit('[{"end_time":'), A.json_value(end_time), F.lit(',"value":'),
-                      A.json_value(F.col("value")), F.lit("}]"))
+                      A.json_num(F.col("value")), F.lit("}]"))
     record = A.rec_text({"name": A.json_value(F.col("event_type")), "values": values})
     return A.landing(ev, "page_insight", F.col("user_id"), F.unix_micros(F.col("ts").cast("timestamp")), [record])
 
@@ -895,4 +895,92 @@ def q_integrity_rejects(spark, sf):
     return rejects.select("doc_id", "reason")
 
 
-ROWS_ONLY = ("daily_staging", "empty_table", "two_table_commit", "landing_stream")
+
+
+# ---------------------------------------------------------------------------
+# Pipelines (rows-only: they write a staging store and return its run log)
+# ---------------------------------------------------------------------------
+
+PIPELINE_RUN_DATE = dt.date(2024, 1, 20)
+
+
+def landing_from_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every entity's landed pages, derived from the test tables."""
+    t = lambda name: A.table(spark, sf, name)
+    ev, docs = t("events"), t("documents")
+    sup = t("supplier")
+    page_rec = A.rec(id=F.col("s_suppkey").cast("string"), name=F.col("s_name"),
+                     business=F.struct(F.col("s_nationkey").cast("string").alias("id")))
+    post_rec = A.rec(id=F.concat_ws("_", "source", F.col("doc_id").cast("string")),
+                     created_time=A.iso_utc(_ts(dt.datetime(2024, 1, 1)) + F.make_dt_interval(mins=F.col("doc_id"))),
+                     status_type=F.col("lang"))
+    ad_rec = A.rec(id=F.col("event_id").cast("string"), campaign_id=F.col("user_id").cast("string"),
+                   adset_id=(F.col("event_id") * 10 + 1).cast("string"),
+                   creative=F.struct((F.col("event_id") % 50).cast("string").alias("id"),
+                                     F.concat(F.lit("creative-"), (F.col("event_id") % 50).cast("string")).alias("name")),
+                   updated_time=A.iso_utc("ts"))
+    parts = [
+        _customer_pages(spark, sf),
+        _campaign_pages(t("orders")),
+        _adset_pages(t("lineitem")),
+        A.landing(ev, "ad", F.concat(F.lit("act_"), F.col("user_id").cast("string")), F.col("event_id"), [ad_rec]),
+        A.landing(sup, "page", F.col("s_nationkey"), F.col("s_suppkey"), [page_rec]),
+        A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [post_rec]),
+        _ad_insight_pages(t("lineitem")),
+        _page_insight_pages(ev),
+        _post_insight_pages(docs),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    import uuid
+
+    from tidewater.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:8]}"
+
+
+def _single_page_parents(landing: DataFrame) -> DataFrame:
+    """Adapter pages are one page per record row; number them 0.. per parent so
+    completeness (SRC-5) holds, keeping the arrival order in the record position."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("entity", "parent_id").orderBy("page_no")
+    return landing.withColumn("page_no", (F.row_number().over(w) - 1).cast("bigint"))
+
+
+@register("daily_staging")
+def q_daily_staging(spark, sf):
+    """PL-1/PL-4: land every entity, run the daily staging (7 dimensions, 3 facts), return the run log."""
+    from tidewater.plans.pipeline import RunContext, run_staging
+    from tidewater.sources.store import StagingStore
+    land_path = _scratch(spark, "landing")
+    _single_page_parents(landing_from_tables(spark, sf)).write.partitionBy("entity").parquet(land_path)
+    landing = spark.read.parquet(land_path)
+    store = StagingStore(spark, _scratch(spark, "staging"))
+    ctx = RunContext(spark=spark, landing=landing, store=store, run_date=PIPELINE_RUN_DATE,
+                     load_ts=dt.datetime(2024, 1, 20, 6), full_refresh=False,
+                     since=WINDOW_SINCE, until=WINDOW_UNTIL)
+    run_staging(ctx)
+    return store.run_log().select("FunctionName", "Status", "RowsReceived", "RowsWritten", "ErrorCount")
+
+
+@register("landing_stream")
+def q_landing_stream(spark, sf):
+    """Structured Streaming: campaign pages consumed with availableNow + foreachBatch -> Campaign table."""
+    from tidewater.plans.pipeline import DIMENSION_STEPS
+    from tidewater.sources.store import StagingStore
+    from tidewater.streaming.landing_stream import start_landing_stream
+    land_path = _scratch(spark, "landing")
+    _single_page_parents(_campaign_pages(A.table(spark, sf, "orders"))).write.parquet(land_path)
+    store = StagingStore(spark, _scratch(spark, "staging"))
+    steps = [s for s in DIMENSION_STEPS if s[0] == "dimension_campaign"]
+    q = start_landing_stream(spark, land_path, store, _scratch(spark, "stream-ckpt"),
+                             PIPELINE_RUN_DATE, dt.datetime(2024, 1, 20, 6), steps=steps)
+    q.awaitTermination()
+    return store.read("Campaign")
+
+
+ROWS_ONLY = ("daily_staging", "landing_stream")

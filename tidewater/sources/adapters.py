@@ -18,7 +18,16 @@ TS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer partitions than the cluster
+    has cores (one unsplittable file / row group), so the per-row JSON work
+    that follows runs on every core. A no-op for inputs already split at
+    least that finely, i.e. for any input of real size."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def iso_utc(ts: Column | str) -> Column:
@@ -34,9 +43,14 @@ def rec(**fields: Column) -> Column:
 
 
 def json_value(c: Column) -> Column:
-    """JSON text of a single value (``"abc"``, ``12.5``, ``[..]``); NULL stays NULL."""
-    return F.when(c.isNotNull(), F.regexp_extract(F.to_json(F.struct(c.alias("v"))),
-                                                  r'^\{"v":(.*)\}$', 1))
+    """JSON text of a string value (quoted and escaped); NULL stays NULL."""
+    arr = F.to_json(F.array(c.cast("string")))
+    return F.when(c.isNotNull(), arr.substr(F.lit(2), F.length(arr) - 2))
+
+
+def json_num(c: Column) -> Column:
+    """JSON text of a numeric value; NULL stays NULL."""
+    return c.cast("string")
 
 
 def rec_text(parts: dict[str, Column]) -> Column:

@@ -94,8 +94,9 @@ def complete_parents(pages: DataFrame) -> DataFrame:
 def keep_complete(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Records of complete parents only: nothing is stored for a parent whose
     fetch did not finish (the stated intent, see SRC-5)."""
-    done = complete_parents(pages).withColumnRenamed("parent_id", "_parent")
-    return records.join(done, "_parent", "left_semi")
+    done = complete_parents(pages).select(F.col("parent_id").alias("_done"))
+    # null-safe: root-scoped endpoints (accounts) land with a NULL parent
+    return records.join(done, records["_parent"].eqNullSafe(done["_done"]), "left_semi")
 
 
 def entitled_parents(parents: DataFrame, availability: DataFrame, key: str,
