@@ -50,3 +50,8 @@ def except_converted(keys: DataFrame, key_col: str, children: DataFrame, child_c
 def top_n(df: DataFrame, order_col: str, n: int) -> DataFrame:
     """SL-3: ``TOP n ... ORDER BY col DESC``."""
     return df.orderBy(F.col(order_col).desc()).limit(n)
+
+
+def recent_runs(run_log: DataFrame, n: int = 30) -> DataFrame:
+    """SL-3 over the run log: the latest ``n`` step rows, newest run first."""
+    return run_log.orderBy(F.col("RunId").desc(), F.col("StartedAt").desc()).limit(n)

@@ -48,7 +48,9 @@ def explode_pages(pages: DataFrame, schema: T.StructType | None = None,
     Output: ``_parent, _page, _pos, _has_next`` and either the raw record
     fields (``schema`` given) or the record text ``_rec``.
     """
-    env = _with_envelope(pages).where(F.col("_env.data").isNotNull())
+    # no filter on `data IS NOT NULL`: posexplode of a NULL array yields no
+    # rows, and a filter would be pushed below any exchange and parse twice
+    env = _with_envelope(pages)
     rows = env.select(
         F.col("parent_id").alias("_parent"),
         F.col("page_no").alias("_page"),
