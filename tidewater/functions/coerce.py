@@ -63,7 +63,12 @@ def number_keep_nan(c: Column | str) -> Column:
     """``float(x)`` on text; NaN stays NaN. Spark also accepts a ``d``/``f``
     suffix (``'12d'``) that Python rejects, so such text is NULL here."""
     s = _c(c).cast("string")
-    return F.when(~s.rlike(r"[0-9.][dDfF]\s*$"), s.try_cast("double"))
+    t = F.rtrim(s)
+    # cheap character tests instead of a regex per value: last char d/D/f/F
+    # preceded by a digit or '.' (so 'inf' still parses)
+    suffixed = F.right(t, F.lit(1)).isin("d", "D", "f", "F") & \
+        F.substring(t, -2, 1).isin(*list("0123456789."))
+    return F.when(~suffixed, s.try_cast("double"))
 
 
 def nan_to_null(c: Column | str) -> Column:
@@ -81,8 +86,9 @@ def as_datetime(c: Column | str) -> Column:
     """SC-2: all-digit text is epoch seconds; other text is parsed with its
     offset, converted to UTC and stored as naive UTC (timestamp_ntz)."""
     s = blank_to_null(_c(c).cast("string"))
+    # epoch seconds fit in 12 digits; the regex only runs on short strings
     parsed = F.when(
-        s.rlike(r"^[0-9]+$"),
+        (F.length(s) <= 12) & s.rlike(r"^[0-9]+$"),
         F.timestamp_seconds(F.when(s.try_cast("bigint") <= F.lit(253402300799), s.try_cast("bigint"))),
     ).otherwise(s.try_cast("timestamp"))
     return parsed.cast("timestamp_ntz")
@@ -92,7 +98,7 @@ def as_date(c: Column | str) -> Column:
     """SC-7: parse -> UTC -> date. Unlike ``as_datetime``, ``yyyyMMdd`` text is
     a calendar date, not epoch seconds."""
     s = blank_to_null(_c(c).cast("string"))
-    compact = F.when(s.rlike(r"^[0-9]{8}$"),
+    compact = F.when((F.length(s) == 8) & s.rlike(r"^[0-9]{8}$"),
                      F.to_date(F.try_to_timestamp(s, F.lit("yyyyMMdd"))))
     return F.coalesce(compact, F.to_date(s.try_cast("timestamp")))
 

@@ -240,7 +240,7 @@ def _staged_campaigns(spark, sf) -> DataFrame:
     WHERE rn = 1""")
 def q_proj_adset(spark, sf):
     """PRJ-4 + JN-1 + SC-6 + DD-1: AdSet with exploded targeting, conformed to staged campaigns."""
-    recs = L.explode_pages(_adset_pages(A.table(spark, sf, "lineitem")), RAW_ADSET)
+    recs = L.explode_pages(_adset_pages(A.table(spark, sf, "lineitem", spread_input=False)), RAW_ADSET)
     out = entities.adset(recs, _staged_campaigns(spark, sf))
     return out.select("AdSetID", "CampaignID", "TargetingAgeMin", "TargetingCountries")
 
@@ -350,7 +350,7 @@ def _ad_insight_pages(li: DataFrame) -> DataFrame:
       FROM lineitem) t WHERE rn = 1""")
 def q_ad_insights_daily(spark, sf):
     """PRJ-9 + AG-3 + SC-4/7/8 + FLT-2 + DD-1: AdInsightsDaily from insight pages."""
-    recs = L.explode_pages(_ad_insight_pages(A.table(spark, sf, "lineitem")), RAW_AD_INSIGHT)
+    recs = L.explode_pages(_ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False)), RAW_AD_INSIGHT)
     return entities.ad_insights_daily(recs).select("AdID", "DateKey", "Spend", "Impressions", "Leads")
 
 
@@ -922,11 +922,11 @@ def landing_from_tables(spark: SparkSession, sf: str) -> DataFrame:
     parts = [
         _customer_pages(spark, sf),
         _campaign_pages(t("orders")),
-        _adset_pages(t("lineitem")),
+        _adset_pages(A.table(spark, sf, "lineitem", spread_input=False)),
         A.landing(ev, "ad", F.concat(F.lit("act_"), F.col("user_id").cast("string")), F.col("event_id"), [ad_rec]),
         A.landing(sup, "page", F.col("s_nationkey"), F.col("s_suppkey"), [page_rec]),
         A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [post_rec]),
-        _ad_insight_pages(t("lineitem")),
+        _ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False)),
         _page_insight_pages(ev),
         _post_insight_pages(docs),
     ]

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 TS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
+    """A test table; ``spread_input=False`` when a hash shuffle follows anyway."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_input else df
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -48,15 +48,16 @@ def explode_pages(pages: DataFrame, schema: T.StructType | None = None,
     Output: ``_parent, _page, _pos, _has_next`` and either the raw record
     fields (``schema`` given) or the record text ``_rec``.
     """
-    # no filter on `data IS NOT NULL`: posexplode of a NULL array yields no
-    # rows, and a filter would be pushed below any exchange and parse twice
+    # posexplode_outer + a filter on its output, not posexplode: for a plain
+    # generator Catalyst infers `size(data) > 0` and pushes it below the
+    # projection, which parses every envelope twice.
     env = _with_envelope(pages)
     rows = env.select(
         F.col("parent_id").alias("_parent"),
         F.col("page_no").alias("_page"),
         F.col("_env.paging.next").isNotNull().alias("_has_next"),
-        F.posexplode("_env.data").alias("_pos", "_rec"),
-    )
+        F.posexplode_outer("_env.data").alias("_pos", "_rec"),
+    ).where(F.col("_rec").isNotNull())
     if schema is None:
         return rows
     parsed = rows.withColumn("_r", F.from_json("_rec", schema))
