@@ -4,8 +4,10 @@ The landing folder is a file source; each micro-batch of newly landed pages
 runs the same pipeline steps through ``foreachBatch``. With
 ``trigger(availableNow=True)`` a scheduled run processes everything landed
 since the last run and stops, and the stream checkpoint records which files
-were consumed. Re-running a batch after a failure is safe: every load mode is
-idempotent on its key and a commit is one atomic manifest swap.
+were consumed. Re-running a batch after a failure is safe: each step's commit records
+"<stream>:<epoch>:<table>" in the same atomic manifest swap, so a replayed
+micro-batch skips the steps it already published (exactly-once, including
+the insert-only snapshot), and the other load modes are idempotent anyway.
 
 Completeness (SRC-5) is judged inside a micro-batch, so the lander writes all
 pages of one parent for one run into one file.
@@ -30,9 +32,12 @@ def start_landing_stream(spark: SparkSession, landing_path: str, store: StagingS
     steps = steps if steps is not None else DIMENSION_STEPS + FACT_STEPS
     source = spark.readStream.schema(LANDING).parquet(landing_path)
 
+    stream_name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         ctx = RunContext(spark=batch.sparkSession, landing=batch, store=store, run_date=run_date,
-                         load_ts=load_ts, since=since, until=until, run_id=f"stream-{epoch_id}")
+                         load_ts=load_ts, since=since, until=until, run_id=f"stream-{epoch_id}",
+                         commit_marker=f"{stream_name}:{epoch_id}")
         run_steps(ctx, steps)
 
     writer = source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
