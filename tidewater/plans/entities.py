@@ -20,11 +20,11 @@ from tidewater.functions.coerce import (
     bare_account_id, date_key, truthy, truthy_or,
 )
 from tidewater.functions.metrics import action_sum, find_metric, leaf_sum
-from tidewater.operators.dedup import dedup_first, dedup_last
+from tidewater.operators.dedup import dedup_first
 from tidewater.operators.joins import conform_quarantine, conform_semi, lookup_match_wins
 from tidewater.operators.windows import in_window, period_end_day
 from tidewater.schemas import TABLES, TARGETING
-from tidewater.sources.landing import SEQ_COLS, last_metric_value
+from tidewater.sources.landing import SEQ_COLS, explode_metric_values, last_metric_value
 
 SEQ = list(SEQ_COLS)
 
@@ -267,9 +267,7 @@ def ad_insights_daily(insights: DataFrame, since: dt.date | None = None,
 
 def page_insights_daily(insights: DataFrame, since: dt.date, until: dt.date) -> DataFrame:
     """PRJ-10 with SRC-7, WN-3, FLT-3: tall (PageID, DateKey, MetricName) rows."""
-    vals = insights.select(
-        F.col("_parent"), F.col("_page"), F.col("_pos"), F.col("name"),
-        F.posexplode("values").alias("_vpos", "_v"))
+    vals = explode_metric_values(insights.select(*SEQ, "name", "values"))
     day = period_end_day(F.col("_v.end_time"))
     rows = vals.select(
         as_long("_parent").alias("PageID"), day.alias("Date"), date_key(day).alias("DateKey"),
@@ -317,5 +315,4 @@ def post_insights_daily(metric_rows: DataFrame, snapshot_date: dt.date) -> DataF
 __all__ = [
     "business", "ad_account", "campaign", "adset", "adset_quarantine", "ad", "creative", "page",
     "post", "ad_insights_daily", "page_insights_daily", "post_metric_rows", "post_insights_daily",
-    "dedup_last",
 ]

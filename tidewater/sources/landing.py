@@ -121,12 +121,10 @@ def skipped_parents(parents: DataFrame, availability: DataFrame, key: str,
     return joined.where(~F.coalesce(F.col("_flag"), F.lit(default))).drop("_flag")
 
 
-def explode_metric_values(records: DataFrame, name_col: str = "name",
-                          values_col: str = "values") -> DataFrame:
-    """SRC-7: one row per (metric, value) in array order."""
+def explode_metric_values(records: DataFrame, values_col: str = "values") -> DataFrame:
+    """SRC-7: one row per (metric, value) in array order: ``_vpos``, ``_v``."""
     return (records.select("*", F.posexplode_outer(values_col).alias("_vpos", "_v"))
-            .where(F.col("_v").isNotNull())
-            .withColumn("metric_name", F.col(name_col)))
+            .where(F.col("_v").isNotNull()).drop(values_col))
 
 
 def last_metric_value(values: Column | str, value: Column | str) -> Column:
@@ -146,17 +144,8 @@ def read_ids(df: DataFrame, column: str, alias: str = "id") -> DataFrame:
             .where(F.col(alias).isNotNull()).distinct())
 
 
-def metric_rows(records: DataFrame, parent_alias: str = "parent_id") -> DataFrame:
-    """SRC-8 applied to post-insight records: (parent, metric, value text, seq);
-    rows with a NULL value are skipped."""
-    return (records.select(F.col("_parent").alias(parent_alias), *SEQ_COLS[1:],
-                           F.col("name").alias("metric_name"),
-                           last_metric_value("values", "value").alias("value_text"))
-            .where(F.col("value_text").isNotNull()))
-
-
 __all__ = [
     "SEQ_COLS", "read_landing", "rejected_pages", "explode_pages", "parent_scoped",
     "complete_parents", "keep_complete", "entitled_parents", "skipped_parents",
-    "explode_metric_values", "last_metric_value", "read_ids", "metric_rows",
+    "explode_metric_values", "last_metric_value", "read_ids",
 ]
