@@ -114,3 +114,14 @@ def test_complete_parents_root_scoped(spark):
     pages = A.landing(base, "account", None, F.col("page"), [A.rec(id=F.lit("act_1"))])
     recs = L.keep_complete(L.explode_pages(pages), pages)
     assert recs.count() == 1
+
+
+def test_number_pages_prefix_sum_matches_row_number(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 5000).select(
+        F.lit("x").alias("entity"), (F.col("id") % 3).cast("string").alias("parent_id"),
+        (F.col("id") * 7919 % 100003).alias("page_no"), F.col("id").cast("string").alias("body"))
+    got = A.number_pages(df, bucket=64)
+    want = df.withColumn("page_no", (F.row_number().over(
+        Window.partitionBy("entity", "parent_id").orderBy("page_no")) - 1).cast("bigint"))
+    assert rows(got, "parent_id", "page_no", "body") == rows(want, "parent_id", "page_no", "body")

@@ -76,9 +76,10 @@ _CONV_SCHEMA = T.StructType([T.StructField("turn", T.StringType()), T.StructFiel
 def _conversation_pages(spark, sf, per_page: int | None) -> DataFrame:
     conv = A.table(spark, sf, "conversations").select("conv_id", "turn", "role")
     if per_page is None:  # one page per turn; `next` missing on the last page only if it is an assistant turn
-        from pyspark.sql import Window
-        last = F.max("turn").over(Window.partitionBy("conv_id"))
-        conv = conv.withColumn("_last", F.col("turn") == last)
+        # last turn per conversation by a (partial) aggregate joined back, not a
+        # window over the whole conversation
+        last = conv.groupBy("conv_id").agg(F.max("turn").alias("_max_turn"))
+        conv = conv.join(last, "conv_id").withColumn("_last", F.col("turn") == F.col("_max_turn"))
         nxt = F.when(~(F.col("_last") & (F.col("role") == "assistant")),
                      F.concat(F.lit("/conv/"), F.col("conv_id").cast("string"), F.lit("?after="),
                               F.col("turn").cast("string")))
@@ -944,11 +945,10 @@ def _scratch(spark: SparkSession, what: str) -> str:
 
 
 def _single_page_parents(landing: DataFrame) -> DataFrame:
-    """Adapter pages are one page per record row; number them 0.. per parent so
-    completeness (SRC-5) holds, keeping the arrival order in the record position."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("entity", "parent_id").orderBy("page_no")
-    return landing.withColumn("page_no", (F.row_number().over(w) - 1).cast("bigint"))
+    """Adapter pages carry one record each, numbered by a record id; number
+    them 0.. per parent so the completeness gate (SRC-5) sees a full landing.
+    Arrival order is kept."""
+    return A.number_pages(landing)
 
 
 @register("daily_staging")

@@ -89,3 +89,29 @@ def ordinal_within(keys: list[str], order: list[str]) -> Column:
     from pyspark.sql import Window
 
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+
+
+def number_pages(pages: DataFrame, bucket: int = 1 << 16) -> DataFrame:
+    """Renumber each parent's pages 0..n-1 in ``page_no`` order, as a lander
+    counts pages while it follows ``next`` links.
+
+    Skew-safe prefix sum instead of one ``row_number()`` over the parent: pages
+    are cut into ``page_no // bucket`` ranges; rows are ranked only inside
+    their range (a window of at most ``bucket`` rows when ``page_no`` is
+    unique per parent), and each range is offset by the page count of the
+    ranges before it, taken from a per-range count table that holds one row
+    per (parent, range) and is joined back.
+    """
+    from pyspark.sql import Window
+
+    keys = ["entity", "parent_id"]
+    b = F.floor(F.col("page_no") / F.lit(bucket)).alias("_b")
+    ranged = pages.withColumn("_b", b)
+    counts = ranged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("page_no"))
+    ranked = ranged.withColumn("_r", local)
+    joined = ranked.join(offsets, [ranked[k].eqNullSafe(offsets[k]) for k in keys] + [ranked["_b"] == offsets["_b"]])
+    return joined.select(*[ranked[k] for k in keys], (F.col("_off") + F.col("_r") - 1).cast("bigint").alias("page_no"),
+                         ranked["body"])
