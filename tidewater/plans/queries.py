@@ -217,7 +217,7 @@ _LI_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disco
 
 
 def _adset_pages(li: DataFrame) -> DataFrame:
-    li = li.withColumn("_ord", A.ordinal_within(["l_orderkey", "l_linenumber"], _LI_ORDER))
+    li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], _LI_ORDER, F.floor(F.col("l_partkey") / 256))
     targeting = F.struct(F.struct(F.array(F.col("l_returnflag")).alias("countries")).alias("geo_locations"),
                          F.col("l_quantity").cast("int").alias("age_min"))
     record = A.rec(id=(F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
@@ -327,7 +327,7 @@ def _actions_text() -> F.Column:
 def _ad_insight_pages(li: DataFrame) -> DataFrame:
     order = ["l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
              "l_linestatus", "l_partkey", "l_shipdate"]
-    li = li.withColumn("_ord", A.ordinal_within(["l_orderkey", "l_linenumber"], order))
+    li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], order, F.floor(F.col("l_suppkey") / 16))
     record = A.rec_text({
         "ad_id": A.json_value(F.col("l_partkey").cast("string")),
         "account_id": A.json_value(F.concat(F.lit("act_"), F.col("l_suppkey").cast("string"))),

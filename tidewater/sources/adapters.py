@@ -80,38 +80,34 @@ def landing(df: DataFrame, entity: str, parent: Column | None, page_no: Column,
     )
 
 
-def ordinal_within(keys: list[str], order: list[str]) -> Column:
-    """Arrival ordinal of a row among rows sharing ``keys``, in ``order``.
-
-    Used by adapters whose source rows repeat a key and whose landing must
-    present the copies in a fixed order (a window over a small key group).
+def with_ordinal(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
+                 name: str = "_ord") -> DataFrame:
+    """Add the 1-based position of each row among rows sharing ``keys``, in ``order``.
+
+    Skew-safe prefix sum instead of one ``row_number()`` over the whole key
+    group: ``bucket`` must be monotone in ``order`` (e.g. a range of the first
+    order column). Rows are ranked only inside (keys, bucket); each bucket is
+    offset by the row count of the buckets before it, from a count table with
+    one row per (keys, bucket) that is joined back. A key holding a third of
+    all rows is thus spread over many small windows.
     """
     from pyspark.sql import Window
 
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ranged = df.withColumn("_bk", bucket)
+    counts = ranged.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_bk").alias("_o_bk"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_bk").orderBy(*order)))
+    cond = [ranked[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys] + [ranked["_bk"] == offsets["_o_bk"]]
+    joined = ranked.join(offsets, cond)
+    return joined.withColumn(name, F.col("_off") + F.col("_r")).drop(
+        "_bk", "_r", "_off", "_o_bk", *[f"_o_{k}" for k in keys])
 
 
 def number_pages(pages: DataFrame, bucket: int = 1 << 16) -> DataFrame:
     """Renumber each parent's pages 0..n-1 in ``page_no`` order, as a lander
-    counts pages while it follows ``next`` links.
-
-    Skew-safe prefix sum instead of one ``row_number()`` over the parent: pages
-    are cut into ``page_no // bucket`` ranges; rows are ranked only inside
-    their range (a window of at most ``bucket`` rows when ``page_no`` is
-    unique per parent), and each range is offset by the page count of the
-    ranges before it, taken from a per-range count table that holds one row
-    per (parent, range) and is joined back.
-    """
-    from pyspark.sql import Window
-
-    keys = ["entity", "parent_id"]
-    b = F.floor(F.col("page_no") / F.lit(bucket)).alias("_b")
-    ranged = pages.withColumn("_b", b)
-    counts = ranged.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("page_no"))
-    ranked = ranged.withColumn("_r", local)
-    joined = ranked.join(offsets, [ranked[k].eqNullSafe(offsets[k]) for k in keys] + [ranked["_b"] == offsets["_b"]])
-    return joined.select(*[ranked[k] for k in keys], (F.col("_off") + F.col("_r") - 1).cast("bigint").alias("page_no"),
-                         ranked["body"])
+    counts pages while it follows ``next`` links (skew-safe, see ``with_ordinal``)."""
+    numbered = with_ordinal(pages, ["entity", "parent_id"], ["page_no"],
+                            F.floor(F.col("page_no") / F.lit(bucket)), "_ord")
+    return numbered.select("entity", "parent_id", (F.col("_ord") - 1).cast("bigint").alias("page_no"), "body")
