@@ -28,8 +28,12 @@ def spread(df: DataFrame) -> DataFrame:
     has cores (one unsplittable file / row group), so the per-row JSON work
     that follows runs on every core. A no-op for inputs already split at
     least that finely, i.e. for any input of real size."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view, leave the input as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def iso_utc(ts: Column | str) -> Column:
