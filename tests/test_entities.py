@@ -158,3 +158,17 @@ def test_output_schemas_match_registry(spark):
     assert [f.name for f in out.schema.fields] == [c for c in spec.columns if c != "LoadDate"]
     for f in out.schema.fields:
         assert f.dataType == spec.schema[f.name].dataType, f.name
+
+
+def test_json_text_string_scalars_are_quoted(spark):
+    r = recs(spark, "campaign", RAW_CAMPAIGN, [("act_1", 0, [
+        {"id": "1", "pacing_type": "standard", "attribution_spec": 5, "special_ad_categories": ["NONE"]},
+        {"id": "2", "pacing_type": ["day_parting"], "special_ad_categories": ""},
+    ], None)])
+    got = {x.CampaignID: x for x in entities.campaign(r).collect()}
+    assert (got[1].PacingType, got[1].AttributionSpec, got[1].SpecialAdCategories) == ('"standard"', "5", '["NONE"]')
+    assert (got[2].PacingType, got[2].SpecialAdCategories) == ('["day_parting"]', None)
+    a = recs(spark, "adset", RAW_ADSET, [("act_1", 0, [
+        {"id": "9", "campaign_id": "1", "targeting": {"genders": "all", "device_platforms": ["mobile"]}}], None)])
+    x = entities.adset(a, spark.createDataFrame([(1,)], "CampaignID long")).first()
+    assert (x.TargetingGenders, x.TargetingDevicePlatforms) == ('"all"', '["mobile"]')

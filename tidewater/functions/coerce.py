@@ -8,6 +8,8 @@ session time zone is UTC (``tidewater.session.ensure_session_defaults``).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -109,14 +111,25 @@ def date_key(d: Column | str) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def as_json_text(c: Column | str) -> Column:
+def as_json_text(c: Column | str, source: Column | str | None = None, key: str | None = None) -> Column:
     """SC-6: JSON text of a nested field, with NULL for ``""``, ``[]`` and ``{}``.
 
     The raw schema declares the field STRING, so ``from_json`` already yields
-    the compact source text (key order and number spelling kept).
+    the compact source text of objects and arrays (key order and number
+    spelling kept). A JSON *string* scalar arrives unquoted that way; given the
+    enclosing JSON text (``source``) and the field name, such a value is
+    re-quoted, as ``json.dumps`` would write it. The check runs only for
+    values that are not an object or array.
     """
     s = _c(c)
-    return F.when(~s.isin("", "[]", "{}"), s)
+    empty = s.isin("", "[]", "{}")
+    if source is None or key is None:
+        return F.when(~empty, s)
+    scalar = ~(s.startswith("[") | s.startswith("{"))
+    is_string = _c(source).rlike('"' + re.escape(key) + r'"\s*:\s*"')
+    literal = F.to_json(F.array(s))
+    quoted = literal.substr(F.lit(2), F.length(literal) - 2)
+    return F.when(empty, F.lit(None).cast("string")).when(scalar & is_string, quoted).otherwise(s)
 
 
 def epoch_seconds(ts: Column | str) -> Column:

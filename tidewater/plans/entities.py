@@ -71,8 +71,8 @@ def _flags() -> list[Column]:
             as_bool("is_adset_budget_sharing_enabled").alias("IsAdSetBudgetSharingEnabled"),
             F.col("destination_type").alias("DestinationType"),
             as_bool("is_dynamic_creative").alias("IsDynamicCreative"),
-            as_json_text("pacing_type").alias("PacingType"),
-            as_json_text("attribution_spec").alias("AttributionSpec")]
+            as_json_text("pacing_type", "_rec", "pacing_type").alias("PacingType"),
+            as_json_text("attribution_spec", "_rec", "attribution_spec").alias("AttributionSpec")]
 
 
 def _seq() -> list[Column]:
@@ -119,7 +119,7 @@ def campaign(campaigns: DataFrame) -> DataFrame:
         bare_account_id(truthy_or("_parent", "account_id")).alias("AdAccountID"),
         F.col("name").alias("CampaignName"), F.col("objective").alias("Objective"),
         F.col("buying_type").alias("BuyingType"), *_statuses(), *_budgets(),
-        as_json_text("special_ad_categories").alias("SpecialAdCategories"),
+        as_json_text("special_ad_categories", "_rec", "special_ad_categories").alias("SpecialAdCategories"),
         *_flags(), *_promoted(),
         as_datetime("start_time").alias("StartTime"), as_datetime("stop_time").alias("StopTime"),
         as_datetime("created_time").alias("CreatedTime"),
@@ -135,14 +135,14 @@ def _adset_rows(adsets: DataFrame) -> DataFrame:
         as_long("campaign_id").alias("CampaignID"),
         F.col("name").alias("AdSetName"), *_statuses(),
         F.col("optimization_goal").alias("OptimizationGoal"), *_budgets(), *_flags(), *_promoted(),
-        as_json_text("targeting").alias("Targeting"),
-        as_json_text("_t.geo_locations.countries").alias("TargetingCountries"),
+        as_json_text("targeting", "_rec", "targeting").alias("Targeting"),
+        as_json_text("_t.geo_locations.countries", "targeting", "countries").alias("TargetingCountries"),
         as_int("_t.age_min").alias("TargetingAgeMin"),
         as_int("_t.age_max").alias("TargetingAgeMax"),
-        as_json_text("_t.genders").alias("TargetingGenders"),
-        as_json_text("_t.publisher_platforms").alias("TargetingPublisherPlatforms"),
-        as_json_text("_t.facebook_positions").alias("TargetingFacebookPositions"),
-        as_json_text("_t.device_platforms").alias("TargetingDevicePlatforms"),
+        as_json_text("_t.genders", "targeting", "genders").alias("TargetingGenders"),
+        as_json_text("_t.publisher_platforms", "targeting", "publisher_platforms").alias("TargetingPublisherPlatforms"),
+        as_json_text("_t.facebook_positions", "targeting", "facebook_positions").alias("TargetingFacebookPositions"),
+        as_json_text("_t.device_platforms", "targeting", "device_platforms").alias("TargetingDevicePlatforms"),
         as_datetime("start_time").alias("StartTime"), as_datetime("end_time").alias("EndTime"),
         as_datetime("created_time").alias("CreatedTime"),
         as_datetime("updated_time").alias("UpdatedTime"),

@@ -42,11 +42,12 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
 
 
 def explode_pages(pages: DataFrame, schema: T.StructType | None = None,
-                  keep_text: bool = False) -> DataFrame:
+                  keep_text: bool = True) -> DataFrame:
     """SRC-1: one row per record, in page order.
 
-    Output: ``_parent, _page, _pos, _has_next`` and either the raw record
-    fields (``schema`` given) or the record text ``_rec``.
+    Output: ``_parent, _page, _pos, _has_next``, the record text ``_rec``
+    (column pruning drops it when unused) and, with ``schema``, the raw
+    record fields.
     """
     # posexplode_outer + a filter on its output, not posexplode: for a plain
     # generator Catalyst infers `size(data) > 0` and pushes it below the
