@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tidewater.plans.pipeline import RunContext, run_staging
-from tidewater.plans.queries import _single_page_parents, landing_from_tables
+from tidewater.plans.queries import landing_from_tables
 from tidewater.sources.store import StagingStore
 from tidewater.schemas import TABLES
 
@@ -47,7 +47,7 @@ def test_partitioned_fact_replaces_only_touched_days(spark):
 
 def test_daily_staging_twice_is_idempotent(spark):
     landing_path = tempfile.mkdtemp(prefix="tw-land-") + "/l"
-    _single_page_parents(landing_from_tables(spark, SF)).write.partitionBy("entity").parquet(landing_path)
+    landing_from_tables(spark, SF).write.partitionBy("entity").parquet(landing_path)
     landing = spark.read.parquet(landing_path)
     store = StagingStore(spark, tempfile.mkdtemp(prefix="tw-store-"))
     ctx = dict(spark=spark, landing=landing, store=store, run_date=dt.date(2024, 1, 20),
@@ -67,7 +67,7 @@ def test_daily_staging_twice_is_idempotent(spark):
 
 def test_snapshot_rerun_conflict_is_logged(spark):
     landing_path = tempfile.mkdtemp(prefix="tw-land-") + "/l"
-    _single_page_parents(landing_from_tables(spark, SF)).write.partitionBy("entity").parquet(landing_path)
+    landing_from_tables(spark, SF).write.partitionBy("entity").parquet(landing_path)
     store = StagingStore(spark, tempfile.mkdtemp(prefix="tw-store-"))
     ctx = dict(spark=spark, landing=spark.read.parquet(landing_path), store=store, run_date=dt.date(2024, 1, 20),
                load_ts=dt.datetime(2024, 1, 20, 6), since=dt.date(2024, 1, 10), until=dt.date(2024, 1, 20))
@@ -91,7 +91,7 @@ def test_stream_processes_new_files_once(spark, tmp_path):
     orders = A.table(spark, SF, "orders")
     land = str(tmp_path / "land")
     first = orders.where(F.col("o_orderkey") % 2 == 0)
-    _single_page_parents(_campaign_pages(first)).write.parquet(land + "/b1")
+    _campaign_pages(first, renumber=True).write.parquet(land + "/b1")
     store = StagingStore(spark, str(tmp_path / "store"))
     steps = [s for s in DIMENSION_STEPS if s[0] == "dimension_campaign"]
     ckpt = str(tmp_path / "ckpt")
@@ -100,7 +100,7 @@ def test_stream_processes_new_files_once(spark, tmp_path):
     run()
     n1 = store.read("Campaign").count()
     second = orders.where(F.col("o_orderkey") % 2 == 1)
-    _single_page_parents(_campaign_pages(second)).write.parquet(land + "/b2")
+    _campaign_pages(second, renumber=True).write.parquet(land + "/b2")
     keys1 = {r.CampaignID for r in store.read("Campaign").select("CampaignID").collect()}
     run()
     keys2 = {r.CampaignID for r in store.read("Campaign").select("CampaignID").collect()}
@@ -114,7 +114,7 @@ def test_stream_processes_new_files_once(spark, tmp_path):
 def test_cli_daily_and_replay(spark, tmp_path):
     from tidewater.__main__ import main
     land = str(tmp_path / "land")
-    _single_page_parents(landing_from_tables(spark, SF)).write.parquet(land)
+    landing_from_tables(spark, SF).write.parquet(land)
     args = ["daily", "--landing", land, "--store", str(tmp_path / "store"), "--run-date", "2024-01-20",
             "--since", "2024-01-10", "--until", "2024-01-20"]
     assert main(args) == 0

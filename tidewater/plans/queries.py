@@ -110,7 +110,7 @@ def q_complete_parents(spark, sf):
     return recs.select(C.as_long("_parent").alias("conv_id"), C.as_long("turn").alias("turn"))
 
 
-def _customer_pages(spark, sf, root: bool = True) -> DataFrame:
+def _customer_pages(spark, sf, root: bool = True, renumber: bool = False) -> DataFrame:
     cust = A.table(spark, sf, "customer")
     nation = A.table(spark, sf, "nation")
     src = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
@@ -119,7 +119,7 @@ def _customer_pages(spark, sf, root: bool = True) -> DataFrame:
         balance=F.col("c_acctbal"),
         business=F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")))
     parent = None if root else F.col("c_nationkey")
-    return A.landing(src, "account", parent, F.col("c_custkey"), [record])
+    return A.landing(src, "account", parent, F.col("c_custkey"), [record], renumber=renumber)
 
 
 @register("parent_scoped_extract", """
@@ -192,12 +192,12 @@ def q_proj_ad_account(spark, sf):
     return entities.ad_account(recs).select("AccountID", "AccountName", "Balance", "BusinessID")
 
 
-def _campaign_pages(orders: DataFrame) -> DataFrame:
+def _campaign_pages(orders: DataFrame, renumber: bool = False) -> DataFrame:
     acct = F.concat(F.lit("act_"), F.col("o_custkey").cast("string"))
     record = A.rec(id=F.col("o_orderkey").cast("string"), account_id=acct,
                    objective=F.col("o_orderpriority"), status=F.col("o_orderstatus"),
                    daily_budget=F.col("o_totalprice"), updated_time=A.iso_utc("o_orderdate"))
-    return A.landing(orders, "campaign", acct, F.col("o_orderkey"), [record])
+    return A.landing(orders, "campaign", acct, F.col("o_orderkey"), [record], renumber=renumber)
 
 
 @register("proj_campaign", """
@@ -216,14 +216,14 @@ _LI_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disco
              "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-def _adset_pages(li: DataFrame) -> DataFrame:
+def _adset_pages(li: DataFrame, renumber: bool = False) -> DataFrame:
     li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], _LI_ORDER, F.floor(F.col("l_partkey") / 256))
     targeting = F.struct(F.struct(F.array(F.col("l_returnflag")).alias("countries")).alias("geo_locations"),
                          F.col("l_quantity").cast("int").alias("age_min"))
     record = A.rec(id=(F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
                    campaign_id=F.col("l_orderkey").cast("string"), targeting=targeting)
     return A.landing(li, "adset", _pad(F.col("l_orderkey")),
-                     F.col("l_linenumber") * 100000 + F.col("_ord"), [record])
+                     F.col("l_linenumber") * 100000 + F.col("_ord"), [record], renumber=renumber)
 
 
 def _staged_campaigns(spark, sf) -> DataFrame:
@@ -324,7 +324,7 @@ def _actions_text() -> F.Column:
     return F.when(F.col("l_returnflag") == "N", leads).otherwise(no_leads)
 
 
-def _ad_insight_pages(li: DataFrame) -> DataFrame:
+def _ad_insight_pages(li: DataFrame, renumber: bool = False) -> DataFrame:
     order = ["l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
              "l_linestatus", "l_partkey", "l_shipdate"]
     li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], order, F.floor(F.col("l_suppkey") / 16))
@@ -337,7 +337,7 @@ def _ad_insight_pages(li: DataFrame) -> DataFrame:
         "actions": _actions_text(),
     })
     return A.landing(li, "ad_insight", _pad(F.col("l_orderkey")),
-                     F.col("l_linenumber") * 100000 + F.col("_ord"), [record])
+                     F.col("l_linenumber") * 100000 + F.col("_ord"), [record], renumber=renumber)
 
 
 @register("ad_insights_daily", """
@@ -355,12 +355,13 @@ def q_ad_insights_daily(spark, sf):
     return entities.ad_insights_daily(recs).select("AdID", "DateKey", "Spend", "Impressions", "Leads")
 
 
-def _page_insight_pages(ev: DataFrame) -> DataFrame:
+def _page_insight_pages(ev: DataFrame, renumber: bool = False) -> DataFrame:
     end_time = A.iso_utc(F.col("ts") + F.make_dt_interval(days=F.lit(1)))
     values = F.concat(F.lit('[{"end_time":'), A.json_value(end_time), F.lit(',"value":'),
                       A.json_num(F.col("value")), F.lit("}]"))
     record = A.rec_text({"name": A.json_value(F.col("event_type")), "values": values})
-    return A.landing(ev, "page_insight", F.col("user_id"), F.unix_micros(F.col("ts").cast("timestamp")), [record])
+    return A.landing(ev, "page_insight", F.col("user_id"), F.unix_micros(F.col("ts").cast("timestamp")), [record],
+                     renumber=renumber)
 
 
 @register("page_insights_daily", """
@@ -377,7 +378,7 @@ def q_page_insights_daily(spark, sf):
     return out.select("PageID", "DateKey", "MetricName", "Value")
 
 
-def _post_insight_pages(docs: DataFrame) -> DataFrame:
+def _post_insight_pages(docs: DataFrame, renumber: bool = False) -> DataFrame:
     d, n = F.col("doc_id"), F.col("n_chars")
     activity = A.rec(share=F.when(d % 4 != 0, d % 7), comment=d % 5)
     reactions = F.when(d % 3 == 0, A.rec(total=n, like=F.lit(1))).otherwise(A.rec(like=n % 10, love=n % 3))
@@ -385,7 +386,7 @@ def _post_insight_pages(docs: DataFrame) -> DataFrame:
                           "values": F.concat(F.lit('[{"value":'), activity, F.lit("}]"))})
     rea_rec = A.rec_text({"name": F.lit('"post_reactions_by_type_total"'), "value": reactions})
     post_id = F.concat_ws("_", F.col("source"), d.cast("string"))
-    return A.landing(docs, "post_insight", post_id, F.lit(0), [act_rec, rea_rec])
+    return A.landing(docs, "post_insight", post_id, F.lit(0), [act_rec, rea_rec], renumber=renumber)
 
 
 @register("post_insights_daily", """
@@ -921,15 +922,16 @@ def landing_from_tables(spark: SparkSession, sf: str) -> DataFrame:
                                      F.concat(F.lit("creative-"), (F.col("event_id") % 50).cast("string")).alias("name")),
                    updated_time=A.iso_utc("ts"))
     parts = [
-        _customer_pages(spark, sf),
-        _campaign_pages(t("orders")),
-        _adset_pages(A.table(spark, sf, "lineitem", spread_input=False)),
-        A.landing(ev, "ad", F.concat(F.lit("act_"), F.col("user_id").cast("string")), F.col("event_id"), [ad_rec]),
-        A.landing(sup, "page", F.col("s_nationkey"), F.col("s_suppkey"), [page_rec]),
-        A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [post_rec]),
-        _ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False)),
-        _page_insight_pages(ev),
-        _post_insight_pages(docs),
+        _customer_pages(spark, sf, renumber=True),
+        _campaign_pages(t("orders"), renumber=True),
+        _adset_pages(A.table(spark, sf, "lineitem", spread_input=False), renumber=True),
+        A.landing(ev, "ad", F.concat(F.lit("act_"), F.col("user_id").cast("string")), F.col("event_id"), [ad_rec],
+                  renumber=True),
+        A.landing(sup, "page", F.col("s_nationkey"), F.col("s_suppkey"), [page_rec], renumber=True),
+        A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [post_rec], renumber=True),
+        _ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False), renumber=True),
+        _page_insight_pages(ev, renumber=True),
+        _post_insight_pages(docs, renumber=True),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -944,20 +946,13 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:8]}"
 
 
-def _single_page_parents(landing: DataFrame) -> DataFrame:
-    """Adapter pages carry one record each, numbered by a record id; number
-    them 0.. per parent so the completeness gate (SRC-5) sees a full landing.
-    Arrival order is kept."""
-    return A.number_pages(landing)
-
-
 @register("daily_staging")
 def q_daily_staging(spark, sf):
     """PL-1/PL-4: land every entity, run the daily staging (7 dimensions, 3 facts), return the run log."""
     from tidewater.plans.pipeline import RunContext, run_staging
     from tidewater.sources.store import StagingStore
     land_path = _scratch(spark, "landing")
-    _single_page_parents(landing_from_tables(spark, sf)).write.partitionBy("entity").parquet(land_path)
+    landing_from_tables(spark, sf).write.partitionBy("entity").parquet(land_path)
     landing = spark.read.parquet(land_path)
     store = StagingStore(spark, _scratch(spark, "staging"))
     ctx = RunContext(spark=spark, landing=landing, store=store, run_date=PIPELINE_RUN_DATE,
@@ -974,7 +969,7 @@ def q_landing_stream(spark, sf):
     from tidewater.sources.store import StagingStore
     from tidewater.streaming.landing_stream import start_landing_stream
     land_path = _scratch(spark, "landing")
-    _single_page_parents(_campaign_pages(A.table(spark, sf, "orders"))).write.parquet(land_path)
+    _campaign_pages(A.table(spark, sf, "orders"), renumber=True).write.parquet(land_path)
     store = StagingStore(spark, _scratch(spark, "staging"))
     steps = [s for s in DIMENSION_STEPS if s[0] == "dimension_campaign"]
     q = start_landing_stream(spark, land_path, store, _scratch(spark, "stream-ckpt"),

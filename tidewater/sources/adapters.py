@@ -79,11 +79,22 @@ def page_body(records: list[Column] | Column, next_link: Column | None = None) -
 
 
 def landing(df: DataFrame, entity: str, parent: Column | None, page_no: Column,
-            records: list[Column] | Column, next_link: Column | None = None) -> DataFrame:
-    """One landed page per input row."""
+            records: list[Column] | Column, next_link: Column | None = None,
+            renumber: bool = False) -> DataFrame:
+    """One landed page per input row.
+
+    ``renumber``: number each parent's pages 0..n-1 in ``page_no`` order (as a
+    lander counts pages), done on the narrow input columns before any JSON
+    is built.
+    """
+    parent_col = parent.cast("string") if parent is not None else F.lit(None).cast("string")
+    if renumber:
+        df = df.withColumn("_lp", parent_col).withColumn("_pn", page_no.cast("bigint"))
+        df = with_ordinal(df, ["_lp"], ["_pn"], F.floor(F.col("_pn") / F.lit(1 << 16)), "_page_ord")
+        parent_col, page_no = F.col("_lp"), F.col("_page_ord") - 1
     return df.select(
         F.lit(entity).alias("entity"),
-        (parent.cast("string") if parent is not None else F.lit(None).cast("string")).alias("parent_id"),
+        parent_col.alias("parent_id"),
         page_no.cast("bigint").alias("page_no"),
         page_body(records, next_link).alias("body"),
     )
