@@ -81,3 +81,11 @@ def test_stamp_load_date(spark, target):
     ts = dt.datetime(2026, 9, 1, 12)
     out = loads.stamp_load_date(target, ts)
     assert {r.LoadDate for r in out.collect()} == {ts}
+
+
+def test_integrity_duplicate_keys(spark):
+    spec = TABLES["Creative"]
+    batch = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "CreativeId string, CreativeName string")
+    ok, rejects = loads.split_integrity(batch, spec, check_unique=True)
+    assert rows(ok, "CreativeId") == [("2",)]
+    assert rows(rejects, "CreativeId", "reason") == [("1", "duplicate_key"), ("1", "duplicate_key")]
