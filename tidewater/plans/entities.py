@@ -151,7 +151,11 @@ def _adset_rows(adsets: DataFrame) -> DataFrame:
 
 def adset(adsets: DataFrame, staged_campaigns: DataFrame) -> DataFrame:
     """PRJ-4: AdSet, only for campaigns already staged (JN-1)."""
-    kept = conform_semi(adsets, "campaign_id", staged_campaigns, "CampaignID")
+    return adset_conformed(conform_semi(adsets, "campaign_id", staged_campaigns, "CampaignID"))
+
+
+def adset_conformed(kept: DataFrame) -> DataFrame:
+    """PRJ-4 on records already conformed to staged campaigns (JN-1 applied)."""
     return _finish(_adset_rows(kept), "AdSet")
 
 
@@ -313,6 +317,6 @@ def post_insights_daily(metric_rows: DataFrame, snapshot_date: dt.date) -> DataF
 
 
 __all__ = [
-    "business", "ad_account", "campaign", "adset", "adset_quarantine", "ad", "creative", "page",
-    "post", "ad_insights_daily", "page_insights_daily", "post_metric_rows", "post_insights_daily",
+    "business", "ad_account", "campaign", "adset", "adset_conformed", "adset_quarantine", "ad", "creative",
+    "page", "post", "ad_insights_daily", "page_insights_daily", "post_metric_rows", "post_insights_daily",
 ]

@@ -41,31 +41,45 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
                     F.lit("data_not_a_list").alias("reason")))
 
 
-def explode_pages(pages: DataFrame, schema: T.StructType | None = None,
-                  keep_text: bool = True) -> DataFrame:
-    """SRC-1: one row per record, in page order.
+def page_rows(pages: DataFrame) -> DataFrame:
+    """One envelope parse per page, shared by SRC-1 and SRC-5.
 
-    Output: ``_parent, _page, _pos, _has_next``, the record text ``_rec``
-    (column pruning drops it when unused) and, with ``schema``, the raw
-    record fields.
+    One row per record (``_pos``, record text ``_rec``) and one row with
+    ``_rec`` NULL for a page whose ``data`` is empty or not a list (``_bad``),
+    so page-level facts (``_has_next``) survive for pages without records.
     """
-    # posexplode_outer + a filter on its output, not posexplode: for a plain
-    # generator Catalyst infers `size(data) > 0` and pushes it below the
-    # projection, which parses every envelope twice.
+    # posexplode_outer and no filter here: for a plain generator Catalyst
+    # infers `size(data) > 0` and pushes it below the projection, which
+    # parses every envelope twice.
     env = _with_envelope(pages)
-    rows = env.select(
+    return env.select(
         F.col("parent_id").alias("_parent"),
         F.col("page_no").alias("_page"),
         F.col("_env.paging.next").isNotNull().alias("_has_next"),
+        F.col("_env.data").isNull().alias("_bad"),
         F.posexplode_outer("_env.data").alias("_pos", "_rec"),
-    ).where(F.col("_rec").isNotNull())
+    )
+
+
+def parse_records(rows: DataFrame, schema: T.StructType | None = None,
+                  keep_text: bool = True) -> DataFrame:
+    """Record rows of ``page_rows`` -> ``_parent, _page, _pos, _has_next``, the
+    record text ``_rec`` (column pruning drops it when unused) and, with
+    ``schema``, the raw record fields."""
+    recs = rows.where(F.col("_rec").isNotNull()).select("_parent", "_page", "_has_next", "_pos", "_rec")
     if schema is None:
-        return rows
-    parsed = rows.withColumn("_r", F.from_json("_rec", schema))
+        return recs
+    parsed = recs.withColumn("_r", F.from_json("_rec", schema))
     cols = [*SEQ_COLS, "_has_next"] + (["_rec"] if keep_text else []) + ["_r.*"]
     return parsed.select(*cols)
 
 
+def explode_pages(pages: DataFrame, schema: T.StructType | None = None,
+                  keep_text: bool = True) -> DataFrame:
+    """SRC-1: one row per record, in page order (see ``parse_records``)."""
+    return parse_records(page_rows(pages), schema, keep_text)
+
+
 def parent_scoped(records: DataFrame, parents: DataFrame, parent_col: str = "id") -> DataFrame:
     """SRC-2: keep records whose landing parent is in the parent list.
 
@@ -77,30 +91,48 @@ def parent_scoped(records: DataFrame, parents: DataFrame, parent_col: str = "id"
     return records.join(keys, "_parent", "left_semi")
 
 
-def complete_parents(pages: DataFrame) -> DataFrame:
-    """SRC-5: parents whose landing is complete: pages 0..n-1 all present and
-    the last one has no ``next`` link. Computed on pages (not records), with
-    partial aggregation, so a parent with millions of pages stays cheap."""
-    env = _with_envelope(pages)
-    per_parent = env.groupBy("parent_id").agg(
-        F.max_by(F.col("_env.paging.next").isNotNull(), F.col("page_no")).alias("last_has_next"),
-        F.max("page_no").alias("max_page"),
-        F.count_distinct("page_no").alias("n_pages"),
-        F.min("page_no").alias("min_page"),
-        F.count_if(F.col("_env.data").isNull()).alias("bad_pages"),
+def complete_parent_rows(rows: DataFrame) -> DataFrame:
+    """SRC-5 over ``page_rows``: parents whose landing is complete: pages
+    0..n-1 all present, every ``data`` a list, and the last page without a
+    ``next`` link. One aggregate with a partial step (a parent with millions
+    of pages is pre-reduced per task). Output: ``parent_id``."""
+    per_parent = rows.groupBy("_parent").agg(
+        F.max_by(F.col("_has_next"), F.col("_page")).alias("last_has_next"),
+        F.max("_page").alias("max_page"),
+        F.count_distinct("_page").alias("n_pages"),
+        F.min("_page").alias("min_page"),
+        F.count_if(F.col("_bad")).alias("bad_pages"),
     )
     return per_parent.where(
         ~F.col("last_has_next") & (F.col("min_page") == 0)
         & (F.col("n_pages") == F.col("max_page") + 1) & (F.col("bad_pages") == 0)
-    ).select(F.col("parent_id"))
+    ).select(F.col("_parent").alias("parent_id"))
+
+
+def complete_parents(pages: DataFrame) -> DataFrame:
+    """SRC-5 on landed pages (see ``complete_parent_rows``)."""
+    return complete_parent_rows(page_rows(pages))
+
+
+def _semi_done(records: DataFrame, done: DataFrame) -> DataFrame:
+    done = done.select(F.col("parent_id").alias("_done"))
+    # null-safe: root-scoped endpoints (accounts) land with a NULL parent
+    return records.join(done, records["_parent"].eqNullSafe(done["_done"]), "left_semi")
 
 
 def keep_complete(records: DataFrame, pages: DataFrame) -> DataFrame:
     """Records of complete parents only: nothing is stored for a parent whose
     fetch did not finish (the stated intent, see SRC-5)."""
-    done = complete_parents(pages).select(F.col("parent_id").alias("_done"))
-    # null-safe: root-scoped endpoints (accounts) land with a NULL parent
-    return records.join(done, records["_parent"].eqNullSafe(done["_done"]), "left_semi")
+    return _semi_done(records, complete_parents(pages))
+
+
+def complete_records(rows: DataFrame, schema: T.StructType | None = None,
+                     keep_text: bool = True) -> DataFrame:
+    """SRC-1 + SRC-5 from one ``page_rows`` frame: records of complete parents,
+    gated before the record parse. Persist ``rows`` when it feeds both sides
+    so the envelopes are parsed once."""
+    gated = _semi_done(rows.where(F.col("_rec").isNotNull()), complete_parent_rows(rows))
+    return parse_records(gated, schema, keep_text)
 
 
 def entitled_parents(parents: DataFrame, availability: DataFrame, key: str,
@@ -146,7 +178,7 @@ def read_ids(df: DataFrame, column: str, alias: str = "id") -> DataFrame:
 
 
 __all__ = [
-    "SEQ_COLS", "read_landing", "rejected_pages", "explode_pages", "parent_scoped",
-    "complete_parents", "keep_complete", "entitled_parents", "skipped_parents",
-    "explode_metric_values", "last_metric_value", "read_ids",
+    "SEQ_COLS", "read_landing", "rejected_pages", "page_rows", "parse_records", "explode_pages",
+    "parent_scoped", "complete_parent_rows", "complete_parents", "keep_complete", "complete_records",
+    "entitled_parents", "skipped_parents", "explode_metric_values", "last_metric_value", "read_ids",
 ]
