@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from tidewater.plans.pipeline import RunContext, run_staging
 from tidewater.plans.queries import landing_from_tables
-from tidewater.sources.store import StagingStore
+from tidewater.sources.store import ConcurrentCommit, StagingStore
 from tidewater.schemas import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -31,6 +31,33 @@ def test_two_table_commit_is_atomic(spark):
     assert store.read("Creative").count() == 1
 
 
+def test_racing_writers_publish_exactly_one_version(spark, tmp_path):
+    """Two writers that read the same manifest version: the second commit
+    fails instead of overwriting the first one's tables."""
+    root = str(tmp_path / "store")
+    a, b = StagingStore(spark, root), StagingStore(spark, root)
+    first = spark.createDataFrame([("1", "c1", None)], TABLES["Creative"].schema)
+    second = spark.createDataFrame([("2", "c2", None)], TABLES["Creative"].schema)
+    seen = b.manifest()
+    a.commit({"Creative": first})
+    b.manifest = lambda: seen  # b still holds the version it read before a committed
+    with pytest.raises(ConcurrentCommit):
+        b.commit({"Creative": second})
+    assert [r.CreativeId for r in StagingStore(spark, root).read("Creative").collect()] == ["1"]
+
+
+def test_manifest_without_jvm_gateway_uses_local_files(spark, tmp_path):
+    """The Spark Connect fallback (no JVM in this process) keeps the same
+    create-if-absent rule on a local path."""
+    store = StagingStore(spark, str(tmp_path / "store"))
+    store.files._jvm = None
+    good = spark.createDataFrame([("1", "c1", None)], TABLES["Creative"].schema)
+    store.commit({"Creative": good})
+    assert store.manifest()["version"] == 1
+    assert not store.files.create_new(store._manifest_path(1), "{}")
+    assert store.read("Creative").count() == 1
+
+
 def test_partitioned_fact_replaces_only_touched_days(spark):
     store = StagingStore(spark, tempfile.mkdtemp(prefix="tw-store-"))
     schema = TABLES["PageInsightsDaily"].schema

@@ -35,6 +35,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            # a machine-local folder is invisible to other executors and lost with them
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (hdfs://, s3a://, ...) "
+                               "in the cluster configuration")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     try:
