@@ -72,6 +72,18 @@ def test_partitioned_fact_replaces_only_touched_days(spark):
     assert got == [20240101]
 
 
+def test_partitioned_read_scans_only_requested_days(spark):
+    store = StagingStore(spark, tempfile.mkdtemp(prefix="tw-store-"))
+    schema = TABLES["PageInsightsDaily"].schema
+    d = dt.date
+    rows = [(1, 20240101 + i, "m", d(2024, 1, 1 + i), None, None) for i in range(5)]
+    store.commit({"PageInsightsDaily": spark.createDataFrame(rows, schema)},
+                 touched={"PageInsightsDaily": [r[1] for r in rows]})
+    part = store.read("PageInsightsDaily", partitions=[20240102, 20240104, 20240199])
+    assert sorted(r.DateKey for r in part.collect()) == [20240102, 20240104]
+    assert store.read("PageInsightsDaily", partitions=[]).count() == 0
+
+
 def test_daily_staging_twice_is_idempotent(spark):
     landing_path = tempfile.mkdtemp(prefix="tw-land-") + "/l"
     landing_from_tables(spark, SF).write.partitionBy("entity").parquet(landing_path)
