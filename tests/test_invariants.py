@@ -78,3 +78,45 @@ def test_q3_backfill_chunks_are_half_open(spark, tmp_path):
     assert all(r.status == "succeeded" for r in results)
     got = sorted(r.DateKey for r in store.read("PageInsightsDaily").collect())
     assert got == [int(d.strftime("%Y%m%d")) for d in days]
+
+
+def test_hot_parent_and_hot_key_match_brute_force(spark):
+    """One parent lands a third of all pages and one id a third of all records:
+    the completeness gate, the conformance split and keep-first dedup still
+    give the brute-force answer, with no step gathering the hot group whole."""
+    import json
+
+    from tidewater.operators import dedup, joins
+
+    pages = []
+    for p in range(30):  # parent "hot" gets 30 of 90 pages; parent c2 misses page 1
+        pages.append(("e", "hot", p, [{"id": "7" if i % 2 == 0 else f"h{p}-{i}", "v": f"{p}.{i}"}
+                                      for i in range(4)], p < 29))
+    for parent in ("c1", "c2", "c3"):
+        for p in range(20):
+            if parent == "c2" and p == 1:
+                continue
+            pages.append(("e", parent, p, [{"id": "7" if p % 5 == 0 else f"{parent}-{p}", "v": f"{parent}{p}"}],
+                          p < 19))
+    text = [(e, par, no, json.dumps({"data": recs, "paging": {"next": "n"} if nxt else {}}))
+            for e, par, no, recs, nxt in pages]
+    df = spark.createDataFrame(text, "entity string, parent_id string, page_no long, body string")
+    rows_ = L.page_rows(df.repartition(7)).persist()
+    recs = L.complete_records(rows_, "struct<id string, v string>")
+
+    # brute force: complete parents, then first record per id in (parent, page, pos) order
+    done = {"hot", "c1", "c3"}
+    flat = sorted((par, no, pos, r["id"], r["v"]) for _, par, no, rs, _ in pages if par in done
+                  for pos, r in enumerate(rs))
+    first = {}
+    for par, no, pos, i, v in flat:
+        first.setdefault(i, v)
+    got = {r.id: r.v for r in dedup.dedup_first(recs.select("id", "v", "_parent", "_page", "_pos"),
+                                                  ["id"], ["_parent", "_page", "_pos"]).collect()}
+    assert got == first
+
+    parents = spark.createDataFrame([("7",), ("7",), ("c1-3",)], "k string")
+    flagged = joins.conform_flag(recs, "id", parents, "k")
+    assert flagged.count() == len(flat)  # duplicate parent keys never multiply children
+    assert flagged.where("_conformed").count() == sum(1 for f in flat if f[3] in {"7", "c1-3"})
+    rows_.unpersist()
