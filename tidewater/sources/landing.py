@@ -96,7 +96,9 @@ def complete_parent_rows(rows: DataFrame) -> DataFrame:
     0..n-1 all present, every ``data`` a list, and the last page without a
     ``next`` link. One aggregate with a partial step (a parent with millions
     of pages is pre-reduced per task). Output: ``parent_id``."""
-    per_parent = rows.groupBy("_parent").agg(
+    # one row per page: its first record (_pos 0) or the NULL row of an empty page
+    per_page = rows.where(F.coalesce(F.col("_pos"), F.lit(0)) == 0)
+    per_parent = per_page.groupBy("_parent").agg(
         F.max_by(F.col("_has_next"), F.col("_page")).alias("last_has_next"),
         F.max("_page").alias("max_page"),
         F.count_distinct("_page").alias("n_pages"),
