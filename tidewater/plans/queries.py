@@ -85,7 +85,10 @@ def _conversation_pages(spark, sf, per_page: int | None) -> DataFrame:
                               F.col("turn").cast("string")))
         return A.landing(conv, "conversation", F.col("conv_id"), F.col("turn"),
                          [A.rec(turn=F.col("turn"), role=F.col("role"))], nxt)
-    paged = (conv.groupBy("conv_id", F.floor(F.col("turn") / per_page).alias("pg"))
+    # pages of at most `per_page` records: numbered by a skew-safe ordinal, so
+    # repeated (conv_id, turn) rows can never pile up in one page
+    numbered = A.with_ordinal(conv, ["conv_id"], ["turn", "role"], F.floor(F.col("turn") / 1024), "_ord")
+    paged = (numbered.groupBy("conv_id", F.floor((F.col("_ord") - 1) / per_page).alias("pg"))
              .agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("recs")))
     data = F.regexp_extract(F.to_json("recs"), r"^\[(.*)\]$", 1)
     return A.landing(paged, "conversation", F.col("conv_id"), F.col("pg"), data)
