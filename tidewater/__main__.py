@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--post-mode", default="recent")
     ap.add_argument("--post-limit", type=int, default=1000)
     ap.add_argument("--on-conflict", choices=["error", "ignore"], default="error")
+    ap.add_argument("--max-files-per-trigger", type=int, default=None,
+                    help="stream: bound each micro-batch to this many landed files")
     args = ap.parse_args(argv)
 
     spark = get_spark()
@@ -44,7 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "stream":
         from tidewater.streaming.landing_stream import start_landing_stream
         q = start_landing_stream(spark, args.landing, store, f"{checkpoint_dir(spark)}/landing-stream",
-                                 args.run_date, load_ts, since=args.since, until=args.until)
+                                 args.run_date, load_ts, since=args.since, until=args.until,
+                                 max_files_per_trigger=args.max_files_per_trigger)
         q.awaitTermination()
         return 0
     ctx = RunContext(spark=spark, landing=read_landing(spark, args.landing), store=store,

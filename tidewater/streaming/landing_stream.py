@@ -10,7 +10,10 @@ micro-batch skips the steps it already published (exactly-once, including
 the insert-only snapshot), and the other load modes are idempotent anyway.
 
 Completeness (SRC-5) is judged inside a micro-batch, so the lander writes all
-pages of one parent for one run into one file.
+pages of one parent for one run into one file. That also makes
+``max_files_per_trigger`` safe: a large backlog is consumed in bounded
+micro-batches (``availableNow`` honours the limit) without splitting a
+parent across batches.
 """
 
 from __future__ import annotations
@@ -28,9 +31,13 @@ from tidewater.sources.store import StagingStore
 def start_landing_stream(spark: SparkSession, landing_path: str, store: StagingStore, checkpoint: str,
                          run_date: dt.date, load_ts: dt.datetime, steps=None,
                          since: dt.date | None = None, until: dt.date | None = None,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     steps = steps if steps is not None else DIMENSION_STEPS + FACT_STEPS
-    source = spark.readStream.schema(LANDING).parquet(landing_path)
+    reader = spark.readStream.schema(LANDING)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    source = reader.parquet(landing_path)
 
     stream_name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
