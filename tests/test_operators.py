@@ -86,6 +86,20 @@ def test_conform_semi_and_quarantine(spark):
     assert rows(joins.conform_quarantine(kids, "campaign_id", parents, "CampaignID"), "id") == [(2,), (3,), (4,)]
 
 
+def test_conform_flag_splits_like_semi_and_anti(spark):
+    """One flagged join: true rows = the semi join, false rows = the quarantine;
+    duplicate parent keys never multiply a child."""
+    kids = spark.createDataFrame([(1, "10"), (2, "11"), (3, None), (4, ""), (5, "10")], "id int, campaign_id string")
+    parents = spark.createDataFrame([(10,), (10,), (None,)], "CampaignID long")
+    flagged = joins.conform_flag(kids, "campaign_id", parents, "CampaignID")
+    assert flagged.count() == 5
+    assert rows(flagged.where("_conformed"), "id") == rows(
+        joins.conform_semi(kids, "campaign_id", parents, "CampaignID"), "id")
+    assert rows(flagged.where("not _conformed"), "id") == rows(
+        joins.conform_quarantine(kids, "campaign_id", parents, "CampaignID"), "id")
+    assert rows(flagged.where("_conformed"), "id") == [(1,), (5,)]
+
+
 def test_lookup_match_wins_even_null(spark):
     recs = spark.createDataFrame([(1, "a1", "7"), (2, "zz", "7")], "id int, adset string, own string")
     lookup = spark.createDataFrame([("a1", None)], "AdSetID string, CampaignID string")
