@@ -219,14 +219,25 @@ _LI_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disco
              "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+def _lineitem_page_no(li: DataFrame, order: list[str], bucket: F.Column,
+                      renumber: bool) -> tuple[DataFrame, F.Column]:
+    """Page number of each lineitem row in its order's landing: by line number,
+    then ``order``. ``renumber``: contiguous 0..n-1 per order, from one ordinal
+    over (line number, order) instead of an ordinal per line plus a renumbering."""
+    if renumber:  # one bucket per line number keeps the windows as small as before
+        li = A.with_ordinal(li, ["l_orderkey"], ["l_linenumber", *order], F.col("l_linenumber"))
+        return li, F.col("_ord") - 1
+    li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], order, bucket)
+    return li, F.col("l_linenumber") * 100000 + F.col("_ord")
+
+
 def _adset_pages(li: DataFrame, renumber: bool = False) -> DataFrame:
-    li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], _LI_ORDER, F.floor(F.col("l_partkey") / 256))
+    li, page_no = _lineitem_page_no(li, _LI_ORDER, F.floor(F.col("l_partkey") / 256), renumber)
     targeting = F.struct(F.struct(F.array(F.col("l_returnflag")).alias("countries")).alias("geo_locations"),
                          F.col("l_quantity").cast("int").alias("age_min"))
     record = A.rec(id=(F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
                    campaign_id=F.col("l_orderkey").cast("string"), targeting=targeting)
-    return A.landing(li, "adset", _pad(F.col("l_orderkey")),
-                     F.col("l_linenumber") * 100000 + F.col("_ord"), [record], renumber=renumber)
+    return A.landing(li, "adset", _pad(F.col("l_orderkey")), page_no, [record])
 
 
 def _staged_campaigns(spark, sf) -> DataFrame:
@@ -330,7 +341,7 @@ def _actions_text() -> F.Column:
 def _ad_insight_pages(li: DataFrame, renumber: bool = False) -> DataFrame:
     order = ["l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
              "l_linestatus", "l_partkey", "l_shipdate"]
-    li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], order, F.floor(F.col("l_suppkey") / 16))
+    li, page_no = _lineitem_page_no(li, order, F.floor(F.col("l_suppkey") / 16), renumber)
     record = A.rec_text({
         "ad_id": A.json_value(F.col("l_partkey").cast("string")),
         "account_id": A.json_value(F.concat(F.lit("act_"), F.col("l_suppkey").cast("string"))),
@@ -339,8 +350,7 @@ def _ad_insight_pages(li: DataFrame, renumber: bool = False) -> DataFrame:
         "impressions": A.json_num(F.col("l_quantity")),
         "actions": _actions_text(),
     })
-    return A.landing(li, "ad_insight", _pad(F.col("l_orderkey")),
-                     F.col("l_linenumber") * 100000 + F.col("_ord"), [record], renumber=renumber)
+    return A.landing(li, "ad_insight", _pad(F.col("l_orderkey")), page_no, [record])
 
 
 @register("ad_insights_daily", """
