@@ -72,6 +72,25 @@ def test_partitioned_fact_replaces_only_touched_days(spark):
     assert got == [20240101]
 
 
+def test_vacuum_keeps_what_current_manifests_reference(spark, tmp_path):
+    store = StagingStore(spark, str(tmp_path / "store"))
+    cre = TABLES["Creative"].schema
+    for i in range(3):
+        store.commit({"Creative": spark.createDataFrame([(str(i), "c", None)], cre)})
+    pid = TABLES["PageInsightsDaily"].schema
+    d = dt.date
+    day1, day2 = (1, 20240101, "m", d(2024, 1, 1), None, None), (1, 20240102, "m", d(2024, 1, 2), None, None)
+    store.commit({"PageInsightsDaily": spark.createDataFrame([day1, day2], pid)},
+                 touched={"PageInsightsDaily": [20240101, 20240102]})
+    store.commit({"PageInsightsDaily": spark.createDataFrame([day2], pid)}, touched={"PageInsightsDaily": [20240102]})
+    assert store.vacuum(keep_manifests=1) == []  # everything is younger than a day
+    deleted = store.vacuum(keep_manifests=1, older_than=dt.timedelta(0))
+    # two old Creative versions and the superseded day-2 partition of the first fact version
+    assert len(deleted) == 3 and sum("DateKey=20240102" in p for p in deleted) == 1
+    assert [r.CreativeId for r in store.read("Creative").collect()] == ["2"]
+    assert sorted(r.DateKey for r in store.read("PageInsightsDaily").collect()) == [20240101, 20240102]
+
+
 def test_partitioned_read_scans_only_requested_days(spark):
     store = StagingStore(spark, tempfile.mkdtemp(prefix="tw-store-"))
     schema = TABLES["PageInsightsDaily"].schema
