@@ -205,3 +205,9 @@ def test_cli_daily_and_replay(spark, tmp_path):
     # a same-day rerun violates the snapshot key (error mode) but every other step succeeds
     assert main(args) == 1
     assert main(args + ["--on-conflict", "ignore"]) == 0
+    # three runs left superseded dimension versions; vacuum keeps what the last manifest reads
+    store = StagingStore(spark, str(tmp_path / "store"))
+    before = store.read("Campaign").count()
+    assert main(["vacuum", "--store", str(tmp_path / "store"), "--keep-manifests", "1",
+                 "--older-than-hours", "0"]) == 0
+    assert StagingStore(spark, str(tmp_path / "store")).read("Campaign").count() == before

@@ -23,8 +23,8 @@ def _date(s: str) -> dt.date:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tidewater")
-    ap.add_argument("command", choices=["daily", "backfill", "snapshot", "stream"])
-    ap.add_argument("--landing", required=True, help="landed pages (Parquet)")
+    ap.add_argument("command", choices=["daily", "backfill", "snapshot", "stream", "vacuum"])
+    ap.add_argument("--landing", help="landed pages (Parquet); every command but vacuum")
     ap.add_argument("--store", required=True, help="staging store folder (shared)")
     ap.add_argument("--run-date", type=_date, default=dt.date.today())
     ap.add_argument("--since", type=_date)
@@ -37,10 +37,18 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--on-conflict", choices=["error", "ignore"], default="error")
     ap.add_argument("--max-files-per-trigger", type=int, default=None,
                     help="stream: bound each micro-batch to this many landed files")
+    ap.add_argument("--keep-manifests", type=int, default=10, help="vacuum: manifests whose folders stay")
+    ap.add_argument("--older-than-hours", type=float, default=24.0, help="vacuum: minimum folder age")
     args = ap.parse_args(argv)
+    if args.command != "vacuum" and not args.landing:
+        ap.error(f"{args.command} needs --landing")
 
     spark = get_spark()
     store = StagingStore(spark, args.store)
+    if args.command == "vacuum":
+        for path in store.vacuum(args.keep_manifests, dt.timedelta(hours=args.older_than_hours)):
+            print(json.dumps({"deleted": path}))
+        return 0
     load_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     full = {"true": True, "false": False, "auto": None}[args.full_refresh]
     if args.command == "stream":
