@@ -1,6 +1,7 @@
 """Store, pipeline and streaming: atomic commits, create-if-missing, partition replacement, rerun idempotence."""
 import datetime as dt
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +85,7 @@ def test_vacuum_keeps_what_current_manifests_reference(spark, tmp_path):
                  touched={"PageInsightsDaily": [20240101, 20240102]})
     store.commit({"PageInsightsDaily": spark.createDataFrame([day2], pid)}, touched={"PageInsightsDaily": [20240102]})
     assert store.vacuum(keep_manifests=1) == []  # everything is younger than a day
+    time.sleep(1.1)  # version stamps have one-second resolution; same-second folders count as young
     deleted = store.vacuum(keep_manifests=1, older_than=dt.timedelta(0))
     # two old Creative versions and the superseded day-2 partition of the first fact version
     assert len(deleted) == 3 and sum("DateKey=20240102" in p for p in deleted) == 1
