@@ -944,7 +944,7 @@ def landing_from_tables(spark: SparkSession, sf: str) -> DataFrame:
         A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [post_rec], renumber=True),
         _ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False), renumber=True),
         _page_insight_pages(ev, renumber=True),
-        _post_insight_pages(docs, renumber=True),
+        _post_insight_pages(docs),  # one page per post, already page 0: nothing to renumber
     ]
     out = parts[0]
     for p in parts[1:]:
