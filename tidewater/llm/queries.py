@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
+#: folder of the public vocabularies (a parameter of every operator that takes one)
+WORD_BPE = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -29,3 +33,28 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t
 def op3_exact_dedup(spark, sf_dir):
     """Copies among all documents."""
     return exact_dedup(documents(spark, sf_dir))
+
+
+def vocabulary(name: str = WORD_BPE) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query("op7_token_files")
+def op7_token_files(spark, sf_dir):
+    """All documents as token-id files, described from the files."""
+    return token_files.token_digest(documents(spark, sf_dir), vocabulary(), end_id=1)
+
+
+@_query("op8_bpe_codec")
+def op8_bpe_codec(spark, sf_dir):
+    """All documents encoded and decoded."""
+    return bpe.codec_digest(documents(spark, sf_dir), vocabulary())
+
+
+@_query("op9_warc")
+def op9_warc(spark, sf_dir):
+    """All pages written as WARC records and read back."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.archive(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
