@@ -82,7 +82,7 @@ class _Files:
         if self.out is None:
             self.name = f"pages-{self.shard:06d}-{self.count:05d}.warc.gz"
             self.temp = f"{self.root}/_temporary/{self.attempt}-{self.name}"
-            self.out, self.records, self.size, self.sha = self.store.open_output_stream(self.temp), 0, 0, hashlib.sha256()
+            self.out, self.records, self.size, self.sha = self.store.open_output_stream(self.temp, compression=None), 0, 0, hashlib.sha256()
         packer = zlib.compressobj(3, zlib.DEFLATED, 31)    # a gzip member without name and time
         member = packer.compress(raw) + packer.flush()
         self.out.write(member)
