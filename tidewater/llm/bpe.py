@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import bounded_batches, chunks, column_bytes, ragged, text_or_empty
+from .common import prepare, chunks, column_bytes, ragged, text_or_empty
 from .lexer import distinct, fast_rows, pretokens, spread
 
 # -- the automaton -----------------------------------------------------------
@@ -397,7 +397,7 @@ def codec(vocabulary: str, lexicon: bytes) -> Codec:
 
 def frequent_words(df: DataFrame, text_col: str = "text", words: int = 50_000) -> list[bytes]:
     """The ``words`` most frequent pre-tokens over all of ``df`` (ties by bytes); map tasks pre-count their own."""
-    bounded_batches(df.sparkSession)
+    prepare(df.sparkSession)
 
     def count(batches):
         seen: dict[bytes, int] = {}
@@ -433,7 +433,7 @@ def build_lexicon(df: DataFrame, text_col: str = "text", words: int = 50_000) ->
 
 def encode(df: DataFrame, vocabulary: str, lexicon: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and ``ids`` (array<int>) of every row: whole texts, no special tokens added, null as empty."""
-    bounded_batches(df.sparkSession)
+    prepare(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches):
@@ -472,7 +472,7 @@ def codec_digest(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     table gives no rows.
     """
     spark: SparkSession = df.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(build_lexicon(df, text_col, words))
 
     def run(batches):

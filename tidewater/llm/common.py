@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +24,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tidewater-{uuid.uuid4().hex[:12]}/{name}"
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows, so that a batch of long texts fits a Python worker."""
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches, so that a batch of long texts fits a Python worker; the package on the workers' path."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > 1000:
         spark.conf.set(key, "1000")
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    known = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    if root in known or getattr(context, "_tidewater_shipped", False):
+        return
+    context._tidewater_shipped = True
+    path = Path(tempfile.mkdtemp(prefix="tidewater-code-")) / "tidewater-code.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in (root / "tidewater").rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(str(path))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

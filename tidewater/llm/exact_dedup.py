@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import SPACE, bounded_batches, chunks, column_bytes, materialize, shuffle_partitions, text_or_empty
+from .common import SPACE, prepare, chunks, column_bytes, materialize, shuffle_partitions, text_or_empty
 
 _CUT = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("n_bytes", pa.int64()), ("sha", pa.string()),
                   ("scope", pa.int64()), ("names", pa.list_(pa.int32())), ("lname", pa.int32()), ("block", pa.binary())])
@@ -110,7 +110,7 @@ def _named(distinct: DataFrame, keys: list[str], buckets: int) -> DataFrame:
 def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4096) -> DataFrame:
     """One row per input row: row (own number), id, n_bytes, sha, name; equal texts share (n_bytes, name)."""
     spark = df.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     buckets = 8 * shuffle_partitions(spark)
     source = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     table = materialize(source.mapInArrow(_cut(block_bytes), _CUT_DDL), "blocks")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, token_files, warc
+from . import bpe, decontam, language_id, quality, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
@@ -26,6 +26,27 @@ def _query(name: str, oracle: str | None = None):
     return register
 
 
+@_query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    """All documents: text, declared language and the priors of their source."""
+    docs = documents(spark, sf_dir)
+    got = language_id.identify(docs, language_id.fit(docs), declared=F.col("lang"), host=F.col("source"))
+    return got.select("doc_id", "lang_id", F.round("lang_confidence", 6).alias("confidence"), "lang_kept")
+
+
+@_query("language_id_pages")
+def language_id_pages(spark, sf_dir):
+    """All pages: markup text, declared markup language, address suffix and host; texts learnt from documents."""
+    model = language_id.fit(documents(spark, sf_dir))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    host = language_id.address_host(F.col("url"))
+    pages = pages.select("page_id", language_id.markup_text(F.col("html")).alias("text"), host.alias("host"),
+                         language_id.markup_language(F.col("html")).alias("declared"))
+    got = language_id.identify(pages, model, declared=F.col("declared"), host=F.col("host"),
+                               suffix=language_id.address_suffix(F.col("host")))
+    return got.select("page_id", "host", "declared", "lang_id", F.round("lang_confidence", 6).alias("confidence"), "lang_kept")
+
+
 @_query("op3_exact_dedup", r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
@@ -41,6 +62,20 @@ def vocabulary(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+@_query("op5_decontam")
+def op5_decontam(spark, sf_dir):
+    """All documents against the whole benchmark."""
+    return decontam.contamination_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_query("op6_quality")
+def op6_quality(spark, sf_dir):
+    """All documents; a document's site is its source, its path the language section of the source."""
+    docs = documents(spark, sf_dir)
+    got = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.col("source"), F.col("lang"))
+    return got.select("doc_id", *[F.round(c, 6).alias(c) for c in ("quality", "host_prior", "path_prior")], "keep")
+
+
 @_query("op7_token_files")
 def op7_token_files(spark, sf_dir):
     """All documents as token-id files, described from the files."""

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import bounded_batches, chunks, column_bytes, scratch, shuffle_partitions, text_or_empty
+from .common import prepare, chunks, column_bytes, scratch, shuffle_partitions, text_or_empty
 from .lexer import distinct, fast_rows, pretokens, spread
 
 _MANIFEST = "shard int, n_docs long, n_tokens long, width int"
@@ -156,7 +156,7 @@ def write_token_files(df: DataFrame, folder: str, vocabulary: str, id_col: str =
     read. An empty table gives an empty manifest and no files.
     """
     spark = df.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     source = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     ordered = source.repartitionByRange(shards or shuffle_partitions(spark), "id").sortWithinPartitions("id")
     ordered.mapInArrow(_write(folder, vocabulary, end_id), _MANIFEST).write.parquet(f"{folder}/manifest")

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_batches, column_bytes, scratch, shuffle_partitions, text_or_empty
+from .common import prepare, column_bytes, scratch, shuffle_partitions, text_or_empty
 
 _MANIFEST = "file string, n_records long, n_bytes long, sha256 string"
 _RECORD = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
@@ -137,7 +137,7 @@ def write_warc(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str
     named columns are read; an empty table gives an empty manifest.
     """
     spark = df.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     pages = df.select(F.col(id_col).cast("long").alias("page"), text_or_empty(url_col).alias("url"),
                       F.encode(text_or_empty(payload_col), "UTF-8").alias("payload"))
     marks = (pages.where((F.octet_length("payload") >= min_bytes) & F.col("page").isNotNull())
