@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import prepare, chunks, column_bytes, ragged, text_or_empty
+from .common import chunks, column_bytes, materialize, prepare, ragged, text_or_empty
 from .lexer import distinct, fast_rows, pretokens, spread
 
 # -- the automaton -----------------------------------------------------------
@@ -396,7 +396,11 @@ def codec(vocabulary: str, lexicon: bytes) -> Codec:
 
 
 def frequent_words(df: DataFrame, text_col: str = "text", words: int = 50_000) -> list[bytes]:
-    """The ``words`` most frequent pre-tokens over all of ``df`` (ties by bytes); map tasks pre-count their own."""
+    """The most frequent pre-tokens over all of ``df``, ``words`` at most.
+
+    Map tasks pre-count their own; classes of about equal frequency are taken
+    whole, from the most frequent on, so at most ``words`` reach the driver.
+    """
     prepare(df.sparkSession)
 
     def count(batches):
@@ -422,8 +426,17 @@ def frequent_words(df: DataFrame, text_col: str = "text", words: int = 50_000) -
         yield from flush()
 
     counts = df.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    return [bytes(r.word) for r in top.collect()]
+    counts = materialize(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    step = F.floor(F.log2("n") * 64).cast("int")      # 64 classes of frequency to each doubling
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("many")).orderBy(F.desc("step")).collect()
+    taken, least = 0, None
+    for r in sizes:
+        if taken + r.many > words:
+            break
+        taken, least = taken + r.many, r.step
+    if least is None:
+        return []
+    return [bytes(r.word) for r in counts.where(step >= least).select("word").collect()]
 
 
 def build_lexicon(df: DataFrame, text_col: str = "text", words: int = 50_000) -> bytes:

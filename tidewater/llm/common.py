@@ -174,3 +174,117 @@ def doc_hash(data: np.ndarray, off: np.ndarray) -> list[bytes]:
 
     view = memoryview(np.ascontiguousarray(data))
     return [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+
+
+# -- groups in sorted partitions, components, fixed-size filters ------------------
+
+
+def whole_groups(batches, keys: list[str], rows: int = 20_000, size: int = 24 << 20) -> Iterator[pa.Table]:
+    """Tables of whole groups from a partition sorted by the integer columns ``keys``."""
+    held, n, held_bytes, need_rows, need_bytes = [], 0, 0, rows, size
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n, held_bytes = n + batch.num_rows, held_bytes + batch.nbytes
+        if n < need_rows and held_bytes < need_bytes:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        new = np.zeros(n - 1, bool)
+        for k in keys:
+            v = table.column(k).to_numpy()
+            new |= v[1:] != v[:-1]
+        cut = np.flatnonzero(new)
+        if not len(cut):                       # one group that has not ended: look again when there is twice as much
+            need_rows, need_bytes = max(need_rows, 2 * n), max(need_bytes, 2 * held_bytes)
+            continue
+        at = int(cut[-1]) + 1
+        yield table.slice(0, at)
+        rest = table.slice(at)
+        held, n, held_bytes = rest.to_batches(), rest.num_rows, held_bytes * rest.num_rows // max(n, 1)
+        need_rows, need_bytes = rows, size
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def group_numbers(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """0, 1, 2 ... for the groups of a sorted table."""
+    new = np.zeros(table.num_rows, np.int64)
+    for k in keys:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.cumsum(new)
+
+
+def smallest_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of n nodes, the smallest node that links (a, b) lead to."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """node and root (the smallest node of its component) for the long columns u, v; nodes without an edge are left out.
+
+    Large-star and small-star rounds (Kiveris et al. 2014): a round needs a
+    minimum by node, with map-side combine, and one join; rounds grow with the
+    logarithm of the number of nodes. Nothing is gathered on the driver.
+    """
+    edges = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
+    state = None
+    for k in range(100):
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(least.withColumnRenamed("m", "v")).where("u <> v").distinct())
+        edges = materialize(small, f"{name}-{k}")
+        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+        if now == state:
+            break
+        state = now
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+FILTER_BITS = 25
+
+
+def bit_filter(df: DataFrame, hash_col: str) -> np.ndarray:
+    """A table of 2**FILTER_BITS bits (4 MB at any input size) in which the bits of all hashes are set.
+
+    It only turns rows away early; an exact join follows. When it fills up it
+    turns fewer away.
+    """
+    bit = F.col(hash_col).bitwiseAND((1 << FILTER_BITS) - 1)
+    words = (df.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast({hash_col} & 63 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toPandas())
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[words.w.to_numpy(np.int64)] = words.b.to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    h = hashes.view(np.uint64) if hashes.dtype != np.uint64 else hashes
+    slot = h & np.uint64((1 << FILTER_BITS) - 1)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)) > 0
+
+
+def tiled(df: DataFrame, key: str, member: str, tiles: str) -> DataFrame:
+    """Rows dealt to pairs of tiles (a <= b) of their group, so that any two members meet in exactly one pair.
+
+    A group of n rows in k tiles makes k * n rows for k * (k + 1) / 2 tasks'
+    worth of work. Adds a, b and left (whether the row is of tile a).
+    """
+    t = F.pmod(F.xxhash64(key, member), F.col(tiles)).cast("int")
+    return (df.withColumn("t", t).withColumn("o", F.explode(F.sequence(F.lit(0), F.col(tiles).cast("int") - 1)))
+            .withColumn("a", F.least("t", "o")).withColumn("b", F.greatest("t", "o"))
+            .withColumn("left", F.col("t") == F.col("a")).drop("t", "o"))

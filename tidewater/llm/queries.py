@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, language_id, quality, token_files, warc
+from . import bpe, decontam, language_id, ngram_join, quality, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
@@ -62,6 +62,12 @@ def vocabulary(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+@_query("op4_ngram_join")
+def op4_ngram_join(spark, sf_dir):
+    """All documents: classes of texts with Jaccard similarity 0.8 or more on five-word shingles."""
+    return ngram_join.ngram_join(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 @_query("op5_decontam")
 def op5_decontam(spark, sf_dir):
     """All documents against the whole benchmark."""
