@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, language_id, ngram_join, quality, token_files, warc
+from . import bpe, decontam, language_id, line_dedup, ngram_join, quality, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
@@ -99,3 +99,9 @@ def op9_warc(spark, sf_dir):
     """All pages written as WARC records and read back."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc.archive(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op10_line_dedup")
+def op10_line_dedup(spark, sf_dir):
+    """All lines of all documents."""
+    return line_dedup.line_report(documents(spark, sf_dir))
