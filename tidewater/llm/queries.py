@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, language_id, line_dedup, ngram_join, quality, token_files, warc
+from . import bpe, decontam, language_id, line_dedup, ngram_join, quality, suffix_dedup, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
@@ -47,6 +47,12 @@ def language_id_pages(spark, sf_dir):
     return got.select("page_id", "host", "declared", "lang_id", F.round("lang_confidence", 6).alias("confidence"), "lang_kept")
 
 
+@_query("op2_suffix_dedup")
+def op2_suffix_dedup(spark, sf_dir):
+    """All documents without the 400-byte strings that occur twice."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), keep_text=False).drop("kept")
+
+
 @_query("op3_exact_dedup", r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
