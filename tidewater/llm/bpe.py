@@ -476,6 +476,27 @@ def decode(df: DataFrame, vocabulary: str, lexicon: bytes, ids_col: str = "ids",
     return df.withColumn(out_col, text(F.col(ids_col)))
 
 
+def encode_decode(df: DataFrame, vocabulary: str, lexicon: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids, n_tokens and the text decoded from the ids, of every row (null text: empty)."""
+    prepare(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches):
+        coder = codec(vocabulary, shared.value)
+        for batch in batches:
+            data, off = column_bytes(batch.column(1))
+            for i, j, part, po in chunks(data, off):
+                ids, bounds = coder.batch(part, po)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
+                    pa.array(np.diff(bounds)),
+                    pa.array([coder.decode(ids[a:b].tolist()).decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())])],
+                    names=["id", "ids", "n_tokens", "decoded"])
+
+    source = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    return source.mapInArrow(run, "id long, ids array<int>, n_tokens long, decoded string").withColumnRenamed("id", id_col)
+
+
 def codec_digest(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                  words: int = 50_000) -> DataFrame:
     """Encode and decode every text; per row id, n_tokens and digests of the ids and of the decoded text.

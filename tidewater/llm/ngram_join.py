@@ -319,3 +319,17 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
             .select(F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("head.id")).alias("class_id"),
                     F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     (alone | (F.col("row") == F.col("head.row"))).alias("kept"), F.lower(F.hex("th")).alias("text_key")))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that are kept, with all its columns; rows that repeat id and text become one."""
+    found = ngram_join(df, id_col, text_col, **options)
+    keys = materialize(found.groupBy(F.col(id_col).alias("__tw_id"), F.col("text_key").alias("__tw_key")).agg(
+        F.max("kept").alias("__tw_kept"), F.count(F.lit(1)).alias("__tw_rows")), "ngram-kept")
+    repeated = not keys.where("__tw_kept AND __tw_rows > 1").isEmpty()
+    gone = keys.where("NOT __tw_kept").select(F.col("__tw_id").alias("__tw_gone"), F.col("__tw_key").alias("__tw_gone_key"))
+    rows = df.withColumn("__tw_id", F.col(id_col).cast("long")).withColumn("__tw_key", F.sha2(text_or_empty(text_col), 256))
+    if repeated:
+        rows = rows.dropDuplicates(["__tw_id", "__tw_key"])
+    rows = rows.join(gone, F.col("__tw_key").eqNullSafe(F.col("__tw_gone_key")) & F.col("__tw_id").eqNullSafe(F.col("__tw_gone")), "left_anti")
+    return rows.drop("__tw_id", "__tw_key")
