@@ -12,12 +12,12 @@ Rarity comes from exact word counts hashed into a table of fixed size, so it can
 be broadcast at any corpus size; a shared slot only makes the order less sharp,
 never wrong. A word that occurs once cannot be shared and is not sent.
 
-Scale: only words of prefixes (8 + 8 bytes and a few more) are shuffled, never
-texts; equal lines are one set. Words with many lines in their group are dealt
-to pairs of tiles. Of each line only the earliest few candidates of a group are
-written; lines that have more and match none of those are looked at again with
-sixteen times as many, until none is left, so a group of thousands of variants
-costs rows in proportion to its lines and no match is lost.
+Scale: only words of prefixes (53 bytes each, packed) are shuffled, never texts;
+equal lines are one set. Words with many lines in their group are dealt to pairs
+of tiles. Of each line only the earliest few candidates of a group are written;
+lines that have more and match none of those are looked at again, in those
+groups, with sixteen times as many, until none is left, so a group of thousands
+of variants costs rows in proportion to its lines and no match is lost.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (SPACE, bit_filter, chunks, column_bytes, group_numbers, materialize, mix, passes, prepare,
-                     shuffle_partitions, span_hash, text_or_empty, tiled, whole_groups, word_spans)
+from .common import (SPACE, bit_filter, chunks, column_bytes, materialize, mix, passes, prepare, shuffle_partitions, span_hash,
+                     text_or_empty, whole_groups, word_spans)
 from .ngram_join import group_pairs
 
 #: slots of the table of word counts (one byte each when broadcast)
-RARITY_BITS = 21
+RARITY_BITS = 22
 #: lines of a word's group that one tile holds
 TILE = 1024
 _NO_ID = (1 << 63) - 1
@@ -63,7 +63,8 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
             data, off = column_bytes(batch.column(0))
             for _, _, part, po in chunks(data, off):
                 starts, lens, _ = word_spans(part, po)
-                table += np.bincount(slot(span_hash(part, starts, lens)), minlength=len(table))
+                at, n = np.unique(slot(span_hash(part, starts, lens)), return_counts=True)
+                table[at] += n
         at = np.flatnonzero(table)
         for a in range(0, len(at), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(at[a:a + (1 << 16)], pa.int32()), pa.array(table[at[a:a + (1 << 16)]])],
@@ -81,8 +82,16 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
 def line_sets(data: np.ndarray, off: np.ndarray, ranks: np.ndarray | None, min_words: int):
     """Distinct words of the lines that are judged: (line, words rarest first, bounds, set key, number, document)."""
     wh, line, number, owner_first = line_words(data, off)
-    order_key = wh if ranks is None else ranks[slot(wh)].astype(np.uint64) << np.uint64(56) | wh >> np.uint64(8)
-    order = np.lexsort((wh, order_key, line))
+    rank = np.zeros(len(wh), np.uint64) if ranks is None else ranks[slot(wh)].astype(np.uint64)
+    order_key = rank << np.uint64(56) | wh >> np.uint64(8)
+    order = None
+    if len(number) < 1 << 16:                  # one number holds line, rank and most of the word: sort it alone
+        short = line.astype(np.uint64) << np.uint64(48) | order_key >> np.uint64(16)
+        order = np.argsort(short)
+        same = (short[order][1:] == short[order][:-1]) & (wh[order][1:] != wh[order][:-1])
+        order = None if same.any() else order
+    if order is None:
+        order = np.lexsort((wh, order_key, line))
     wh, line, order_key = wh[order], line[order], order_key[order]
     new = np.ones(len(wh), bool)
     new[1:] = (wh[1:] != wh[:-1]) | (line[1:] != line[:-1])
@@ -131,9 +140,37 @@ def _lines(ranks, min_words: int, num: int, den: int):
     return run
 
 
-def _prefixes(ranks, min_words: int, num: int, den: int, only):
-    """Prefix words of the distinct sets of a chunk, each with its first place, size, position and parity bitmap."""
+#: a prefix word's record in the packed blocks that are shuffled, field by field
+_RECORD = (("word", "<u8"), ("k", "<u8"), ("id", "<i8"), ("parity", "<u8"), ("parity2", "<u8"), ("line", "<u4"), ("n", "<u4"),
+           ("pos", "<u4"), ("flags", "<u1"))
+_WIDTH = sum(np.dtype(t).itemsize for _, t in _RECORD)
+_ASKED, _LEFT, _INNER = 1, 2, 4
+#: frequent words that are broadcast with their number of tiles
+_HOT_WORDS = 100_000
+
+
+def pack(cols: dict[str, np.ndarray]) -> bytes:
+    return b"".join(cols[name].astype(kind).tobytes() for name, kind in _RECORD)
+
+
+def unpack(blobs: list[bytes]) -> dict[str, np.ndarray]:
+    parts: dict[str, list] = {name: [] for name, _ in _RECORD}
+    for blob in blobs:
+        m, at = len(blob) // _WIDTH, 0
+        for name, kind in _RECORD:
+            parts[name].append(np.frombuffer(blob, kind, m, at))
+            at += m * np.dtype(kind).itemsize
+    return {name: np.concatenate(x) for name, x in parts.items()}
+
+
+def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int, only):
+    """Prefix words of the distinct sets of a chunk, each with its first place, size, position and parity bitmap.
+
+    A frequent word's records go to all pairs of tiles that their tile is in;
+    records leave in packed blocks, one for each bucket of words.
+    """
     def run(batches):
+        hot_words, hot_tiles = hot.value
         for batch in batches:
             ids = batch.column(0).fill_null(_NO_ID).to_numpy()
             data, off = column_bytes(batch.column(2))
@@ -143,76 +180,100 @@ def _prefixes(ranks, min_words: int, num: int, den: int, only):
                     continue
                 doc_id = ids[i + document]
                 first = np.lexsort((number, doc_id, key))
-                first = np.sort(first[np.concatenate([[True], key[first][1:] != key[first][:-1]])])
+                first = first[np.concatenate([[True], key[first][1:] != key[first][:-1]])]
                 n = np.diff(bounds)
-                parity = np.bitwise_xor.reduceat(np.uint64(1) << (wh & np.uint64(63)), bounds[:-1])
+                bit = np.uint64(1) << (wh & np.uint64(63))
+                second = (wh >> np.uint64(6) & np.uint64(1)) > 0
+                parity = np.bitwise_xor.reduceat(np.where(second, np.uint64(0), bit), bounds[:-1])
+                parity2 = np.bitwise_xor.reduceat(np.where(second, bit, np.uint64(0)), bounds[:-1])
                 mine = np.zeros(len(n), bool)
                 mine[first] = True
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
-                send = (pos < np.repeat(prefix_size(n, num, den), n)) & (order_key >> np.uint64(56) > 0) & np.repeat(mine, n)
+                send = np.flatnonzero((pos < np.repeat(prefix_size(n, num, den), n)) & (order_key >> np.uint64(56) > 0) & np.repeat(mine, n))
                 line = np.repeat(np.arange(len(n)), n)[send]
-                asked = np.ones(len(line), bool) if only is None else passes(only.value, key[line])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(order_key[send].view(np.int64)), pa.array(key[line].view(np.int64)), pa.array(doc_id[line]),
-                    pa.array(number[line], pa.int32()), pa.array(n[line], pa.int32()), pa.array(pos[send], pa.int32()),
-                    pa.array(parity[line].view(np.int64)), pa.array(asked)],
-                    names=["word", "k", "id", "line", "n", "pos", "parity", "asked"])
+                word, pos = order_key[send], pos[send]
+                flags = np.full(len(send), _LEFT | _INNER, np.uint8)
+                at = np.searchsorted(hot_words, word)
+                often = np.flatnonzero(hot_words[np.minimum(at, len(hot_words) - 1)] == word) if len(hot_words) else at[:0]
+                if len(often):
+                    tiles = hot_tiles[at[often]]
+                    rest = np.setdiff1d(np.arange(len(word)), often, assume_unique=True)
+                    own = np.repeat((mix(key[line[often]] ^ word[often]) % tiles.astype(np.uint64)).astype(np.int64), tiles)
+                    other = np.arange(int(tiles.sum())) - np.repeat(np.cumsum(tiles) - tiles, tiles)
+                    copies = np.repeat(often, tiles)
+                    tile = mix(word[copies] ^ mix((np.minimum(own, other) << 32 | np.maximum(own, other)).astype(np.uint64)))
+                    flags = np.concatenate([flags[rest], ((own <= other) * _LEFT | (own == other) * _INNER).astype(np.uint8)])
+                    line, pos, word = np.concatenate([line[rest], line[copies]]), np.concatenate([pos[rest], pos[copies]]), np.concatenate([word[rest], tile])
+                if only is None:
+                    flags |= _ASKED
+                else:
+                    open_words, open_lines = only.value
+                    ok = passes(open_words, word)
+                    line, pos, word, flags = line[ok], pos[ok], word[ok], flags[ok]
+                    flags |= passes(open_lines, key[line]).astype(np.uint8)
+                if not len(word):
+                    continue
+                bucket = (mix(word) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket, line = bucket[order], line[order]
+                cols = {"word": word[order], "k": key[line], "id": doc_id[line], "parity": parity[line], "parity2": parity2[line],
+                        "line": number[line], "n": n[line], "pos": pos[order], "flags": flags[order]}
+                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                blobs = [pack({c: v[x:y] for c, v in cols.items()}) for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)])]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "block"])
     return run
 
 
-_PREFIX = "word long, k long, id long, line int, n int, pos int, parity long, asked boolean"
-
-
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
 def _candidates(num: int, den: int, most: int):
     """Of each line the ``most`` earliest candidates of its group, and whether there are more."""
-    keys = ["word", "a", "b"]
-
     def run(batches):
-        for table in whole_groups(batches, keys):
-            col = {c: table.column(c).to_numpy(zero_copy_only=False) for c in ("k", "id", "line", "n", "pos", "parity", "asked", "left")}
-            inner = table.column("a").to_numpy() == table.column("b").to_numpy()
-            group = group_numbers(table, keys)
-            # equal sets from several tasks: the earliest place stands for all; then lines in corpus order
-            order = np.lexsort((col["line"], col["id"], col["k"], group))
-            g, k = group[order], col["k"][order]
-            order = order[np.concatenate([[True], (g[1:] != g[:-1]) | (k[1:] != k[:-1])])]
-            order = order[np.lexsort((col["k"][order], col["line"][order], col["id"][order], group[order]))]
+        for table in whole_groups(batches, ["bucket"], rows=1 << 30, size=4 << 20):
+            col = unpack(table.column("block").to_pylist())
+            # equal sets from several tasks: the earliest place stands for all; groups in order, lines in corpus order
+            order = np.lexsort((col["k"], col["line"], col["id"], col["word"]))
             col = {c: v[order] for c, v in col.items()}
-            group, inner = group[order], inner[order]
-            n, pos, parity, asked = col["n"].astype(np.int64), col["pos"].astype(np.int64), col["parity"].view(np.uint64), col["asked"]
+            pair = mix(col["word"] ^ mix(col["k"]))
+            first = np.sort(np.unique(pair, return_index=True)[1])
+            col = {c: v[first] for c, v in col.items()}
+            word, k, flags = col["word"], col["k"], col["flags"]
+            group = np.cumsum(np.concatenate([[True], word[1:] != word[:-1]])) - 1
+            n, pos, asked = col["n"].astype(np.int64), col["pos"].astype(np.int64), flags & _ASKED > 0
+            p, p2 = col["parity"], col["parity2"]
             got = []
-            for i, j in group_pairs(group, col["left"], inner):
-                x, y = np.maximum(i, j), np.minimum(i, j)      # rows of a group are in corpus order: y is earlier
+            for y, x in group_pairs(group, flags & _LEFT > 0, flags & _INNER > 0):
+                x, y = np.maximum(x, y), np.minimum(x, y)      # y is earlier
                 total = n[x] + n[y]
                 need = least_overlap(total, num, den)
-                ok = asked[x] & (pos[x] + need <= n[x]) & (pos[y] + need <= n[y])
-                ok[ok] = _popcount(parity[x[ok]] ^ parity[y[ok]]) <= total[ok] - 2 * need[ok]
+                ok = np.flatnonzero(asked[x] & (pos[x] + need <= n[x]) & (pos[y] + need <= n[y]))
+                x, y = x[ok], y[ok]
+                ok = _popcount(p[x] ^ p[y]) + _popcount(p2[x] ^ p2[y]) <= total[ok] - 2 * need[ok]
                 got.append((x[ok], y[ok]))
-            if not got:
-                continue
-            x, y = np.concatenate([a for a, _ in got]), np.concatenate([b for _, b in got])
+            x = np.concatenate([a for a, _ in got]) if got else np.zeros(0, np.int64)
             if not len(x):
                 continue
+            y = np.concatenate([b for _, b in got])
             order = np.lexsort((y, x))
             x, y = x[order], y[order]
             start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
             size = np.diff(np.append(start, len(x)))
-            rank = np.arange(len(x)) - np.repeat(start, size)
-            take, more = rank < most, np.repeat(size > most, size)
-            yield pa.RecordBatch.from_arrays([pa.array(col["k"][x[take]]), pa.array(col["k"][y[take]]), pa.array(more[take])],
-                                             names=["x", "y", "more"])
+            take = np.arange(len(x)) - np.repeat(start, size) < most
+            more = np.repeat(size > most, size)[take]
+            x, y = x[take], y[take]
+            yield pa.RecordBatch.from_arrays([pa.array(k[x].view(np.int64)), pa.array(k[y].view(np.int64)), pa.array(more),
+                                              pa.array(word[x].view(np.int64))], names=["x", "y", "more", "word"])
     return run
 
 
-def _wanted_sets(bits, min_words: int):
-    """Words of the lines whose set key may be wanted, once for each chunk."""
+def _wanted_sets(documents, bits, min_words: int):
+    """Words of the lines whose set key may be wanted, once for each chunk, from the documents that have them first."""
     def run(batches):
         for batch in batches:
-            data, off = column_bytes(batch.column(0))
+            batch = batch.take(pa.array(np.flatnonzero(passes(documents.value, batch.column(0).to_numpy()))))
+            data, off = column_bytes(batch.column(1))
             for _, _, part, po in chunks(data, off):
                 wh, _, bounds, key, _, _ = line_sets(part, po, None, min_words)
                 if not len(key):
@@ -230,7 +291,7 @@ def _wanted_sets(bits, min_words: int):
 
 
 def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5),
-                min_words: int = 5, most: int = 4) -> DataFrame:
+                min_words: int = 5, most: int = 16) -> DataFrame:
     """id, th (hash of the text) and ``removed`` (sorted line numbers from 0) of the documents that lose lines."""
     spark = df.sparkSession
     prepare(spark)
@@ -246,29 +307,34 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     hot = materialize(lines.select(F.explode("hot").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("many"))
                       .where(F.col("many") > TILE), "line-frequent-words")
 
-    resolved, only = None, None
+    tile = TILE
+    while hot.where(F.col("many") > tile).count() > _HOT_WORDS:      # keeps what is broadcast bounded
+        tile *= 4
+    often = hot.where(F.col("many") > tile).orderBy("word").toPandas()
+    words = often.word.to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(words)
+    frequent = spark.sparkContext.broadcast((words[order], -(-often.many.to_numpy(np.int64) // tile)[order]))
+
+    resolved, only, buckets = None, None, 4 * parts
     while True:
-        prefixes = source.mapInArrow(_prefixes(ranks, min_words, num, den, only), _PREFIX)
-        dealt = prefixes.join(hot, "word", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("many") / TILE), F.lit(1)))
-        dealt = tiled(dealt, "word", "k", "tiles").drop("many", "tiles")
-        pairs = materialize(dealt.repartition(parts, "word", "a", "b").sortWithinPartitions("word", "a", "b")
-                            .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean")
-                            .groupBy("x", "y").agg(F.max("more").alias("more")), "line-pairs")
+        blocks = source.mapInArrow(_prefixes(ranks, frequent, min_words, num, den, buckets, only), "bucket int, block binary")
+        pairs = materialize(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
+                            .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean, word long"), "line-pairs")
         keys = pairs.select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct()
-        bits = spark.sparkContext.broadcast(bit_filter(keys, "k"))
-        sets = materialize(source.select("text").mapInArrow(_wanted_sets(bits, min_words), "k long, words array<long>")
+        keys = materialize(keys.join(firsts, "k").select("k", F.col("first.th").alias("th")), "line-wanted")
+        bits, docs = (spark.sparkContext.broadcast(bit_filter(keys, c)) for c in ("k", "th"))
+        sets = materialize(source.select("th", "text").mapInArrow(_wanted_sets(docs, bits, min_words), "k long, words array<long>")
                            .groupBy("k").agg(F.any_value("words").alias("words")), "line-words")
-        both = (pairs.join(sets.withColumnsRenamed({"k": "x", "words": "wx"}), "x")
+        both = (pairs.select("x", "y").distinct().join(sets.withColumnsRenamed({"k": "x", "words": "wx"}), "x")
                 .join(sets.withColumnsRenamed({"k": "y", "words": "wy"}), "y"))
         common = F.size(F.array_intersect("wx", "wy"))
         similar = (num + den) * common >= num * (F.size("wx") + F.size("wy"))
         found = materialize(both.where(similar).select("x").distinct(), "line-matches")
         resolved = found if resolved is None else resolved.unionByName(found).distinct()
-        left = pairs.where("more").select("x").distinct().join(found, "x", "left_anti")
-        left = materialize(left, "line-open")
+        left = materialize(pairs.where("more").select("x", "word").distinct().join(found, "x", "left_anti"), "line-open")
         if left.isEmpty():
             break
-        only = spark.sparkContext.broadcast(bit_filter(left, "x"))
+        only = spark.sparkContext.broadcast((bit_filter(left, "word"), bit_filter(left, "x")))
         most *= 16
 
     copies = (lines.join(firsts.where("many > 1"), "k").where(~place.eqNullSafe(F.col("first"))).select("id", "th", "line"))
