@@ -260,11 +260,13 @@ def _candidates(num: int, den: int, most: int):
             x, y = x[order], y[order]
             start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
             size = np.diff(np.append(start, len(x)))
-            take = np.arange(len(x)) - np.repeat(start, size) < most
+            rank = np.arange(len(x)) - np.repeat(start, size)
+            take = rank < most
             more = np.repeat(size > most, size)[take]
-            x, y = x[take], y[take]
+            x, y, rank = x[take], y[take], rank[take]
             yield pa.RecordBatch.from_arrays([pa.array(k[x].view(np.int64)), pa.array(k[y].view(np.int64)), pa.array(more),
-                                              pa.array(word[x].view(np.int64))], names=["x", "y", "more", "word"])
+                                              pa.array(word[x].view(np.int64)), pa.array(rank)],
+                                             names=["x", "y", "more", "word", "rank"])
     return run
 
 
@@ -290,6 +292,14 @@ def _wanted_sets(documents, bits, min_words: int):
     return run
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The x of pairs whose sets reach the threshold, exactly."""
+    both = (pairs.select("x", "y").distinct().join(sets.withColumnsRenamed({"k": "x", "words": "wx"}), "x")
+            .join(sets.withColumnsRenamed({"k": "y", "words": "wy"}), "y"))
+    common = F.size(F.array_intersect("wx", "wy"))
+    return both.where((num + den) * common >= num * (F.size("wx") + F.size("wy"))).select("x").distinct()
+
+
 def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5),
                 min_words: int = 5, most: int = 16) -> DataFrame:
     """id, th (hash of the text) and ``removed`` (sorted line numbers from 0) of the documents that lose lines."""
@@ -319,17 +329,16 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     while True:
         blocks = source.mapInArrow(_prefixes(ranks, frequent, min_words, num, den, buckets, only), "bucket int, block binary")
         pairs = materialize(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
-                            .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean, word long"), "line-pairs")
+                            .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean, word long, rank long"), "line-pairs")
         keys = pairs.select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct()
         keys = materialize(keys.join(firsts, "k").select("k", F.col("first.th").alias("th")), "line-wanted")
         bits, docs = (spark.sparkContext.broadcast(bit_filter(keys, c)) for c in ("k", "th"))
         sets = materialize(source.select("th", "text").mapInArrow(_wanted_sets(docs, bits, min_words), "k long, words array<long>")
                            .groupBy("k").agg(F.any_value("words").alias("words")), "line-words")
-        both = (pairs.select("x", "y").distinct().join(sets.withColumnsRenamed({"k": "x", "words": "wx"}), "x")
-                .join(sets.withColumnsRenamed({"k": "y", "words": "wy"}), "y"))
-        common = F.size(F.array_intersect("wx", "wy"))
-        similar = (num + den) * common >= num * (F.size("wx") + F.size("wy"))
-        found = materialize(both.where(similar).select("x").distinct(), "line-matches")
+        # most lines match one of their two earliest candidates; only the others' pairs are looked at further
+        found = materialize(_similar(pairs.where("rank < 2"), sets, num, den), "line-matches")
+        rest = _similar(pairs.where("rank >= 2").join(found, "x", "left_anti"), sets, num, den)
+        found = materialize(found.unionByName(rest), "line-matches-all")
         resolved = found if resolved is None else resolved.unionByName(found).distinct()
         left = materialize(pairs.where("more").select("x", "word").distinct().join(found, "x", "left_anti"), "line-open")
         if left.isEmpty():
