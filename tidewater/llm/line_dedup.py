@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (SPACE, bit_filter, chunks, column_bytes, materialize, mix, passes, prepare, shuffle_partitions, span_hash,
-                     text_or_empty, whole_groups, word_spans)
+from .common import (SPACE, bit_filter, chunks, column_bytes, materialize, mix, passes, prepare, release, shuffle_partitions,
+                     span_hash, text_or_empty, whole_groups, word_spans)
 from .ngram_join import group_pairs
 
 #: slots of the table of word counts (one byte each when broadcast)
@@ -330,6 +330,8 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         blocks = source.mapInArrow(_prefixes(ranks, frequent, min_words, num, den, buckets, only), "bucket int, block binary")
         pairs = materialize(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
                             .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean, word long, rank long"), "line-pairs")
+        del blocks
+        release(spark)
         keys = pairs.select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct()
         keys = materialize(keys.join(firsts, "k").select("k", F.col("first.th").alias("th")), "line-wanted")
         bits, docs = (spark.sparkContext.broadcast(bit_filter(keys, c)) for c in ("k", "th"))
