@@ -276,7 +276,7 @@ def page_insights_daily(insights: DataFrame, since: dt.date, until: dt.date) ->
     rows = vals.select(
         as_long("_parent").alias("PageID"), day.alias("Date"), date_key(day).alias("DateKey"),
         F.col("name").alias("MetricName"), _rate(as_number(F.col("_v.value"))).alias("Value"),
-        F.col("_parent"), F.col("_page"), (F.col("_pos") * 100000 + F.col("_vpos")).alias("_pos"),
+        F.col("_parent"), F.col("_page"), (F.shiftleft(F.col("_pos").cast("long"), 31) + F.col("_vpos")).alias("_pos"),
     ).where(in_window("Date", since, until)).dropna(subset=["PageID", "Date", "MetricName"])
     return _finish(rows, "PageInsightsDaily")
 

@@ -228,7 +228,7 @@ def _lineitem_page_no(li: DataFrame, order: list[str], bucket: F.Column,
         li = A.with_ordinal(li, ["l_orderkey"], ["l_linenumber", *order], F.col("l_linenumber"))
         return li, F.col("_ord") - 1
     li = A.with_ordinal(li, ["l_orderkey", "l_linenumber"], order, bucket)
-    return li, F.col("l_linenumber") * 100000 + F.col("_ord")
+    return li, F.shiftleft(F.col("l_linenumber").cast("long"), 31) + F.col("_ord")
 
 
 def _adset_pages(li: DataFrame, renumber: bool = False) -> DataFrame:

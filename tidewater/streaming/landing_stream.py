@@ -19,6 +19,7 @@ parent across batches.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -39,13 +40,15 @@ def start_landing_stream(spark: SparkSession, landing_path: str, store: StagingS
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     source = reader.parquet(landing_path)
 
-    stream_name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
-
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
+        # the query's own id, which its checkpoint holds: another checkpoint is another stream
+        stream = json.loads(batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
         ctx = RunContext(spark=batch.sparkSession, landing=batch, store=store, run_date=run_date,
                          load_ts=load_ts, since=since, until=until, run_id=f"stream-{epoch_id}",
-                         commit_marker=f"{stream_name}:{epoch_id}")
-        run_steps(ctx, steps)
+                         commit_marker=f"{stream}:{epoch_id}")
+        failed = [r for r in run_steps(ctx, steps) if r.status != "succeeded"]
+        if failed:  # the epoch must not count as consumed: its replay skips the steps that were published
+            raise RuntimeError("; ".join(f"{r.name}: {r.error}" for r in failed))
 
     writer = source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
