@@ -41,7 +41,7 @@ def line_words(data: np.ndarray, off: np.ndarray):
     """Word hashes, the line of each word, each line's number in its document, and first lines of documents."""
     breaks = np.flatnonzero(data == 10) + 1
     heads = np.sort(np.concatenate([off[:-1], breaks]), kind="stable")
-    doc = np.searchsorted(breaks, off, "left")             # line breaks before each document's start
+    doc = np.searchsorted(breaks, off, "right")            # line breaks of the documents before each
     owner_first = doc[:-1] + np.arange(len(off) - 1)
     number = np.arange(len(heads)) - np.repeat(owner_first, np.diff(np.append(owner_first, len(heads))))
     starts, lens, _ = word_spans(data, off, SPACE)
