@@ -290,9 +290,7 @@ class Codec:
     """Encodes batches of texts with the lexicon and the merger, and decodes ids."""
 
     def __init__(self, vocabulary: str, lexicon: str | None):
-        from tokenizers import Tokenizer
-
-        self.rules = Tokenizer.from_file(vocabulary)   # its normalizer and splitter, for texts beyond Latin-1
+        self.vocabulary, self._rules = vocabulary, None
         with open(vocabulary, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -305,6 +303,15 @@ class Codec:
         if self.lexicon:
             self._fill()
 
+    @property
+    def rules(self):
+        """The vocabulary's normalizer and splitter, loaded when a text beyond Latin-1 needs them."""
+        if self._rules is None:
+            from tokenizers import Tokenizer
+
+            self._rules = Tokenizer.from_file(self.vocabulary)
+        return self._rules
+
     def _fill(self) -> None:
         """ids of the lexicon's words by rank, from a walk in sorted order."""
         arcs: dict[int, list] = {}

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewater.session import checkpoint_dir
 
 #: bytes of text that one numpy step works on (temporaries are about 40 times that)
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def scratch(spark: SparkSession, name: str) -> str:

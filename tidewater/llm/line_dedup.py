@@ -58,16 +58,16 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
     prepare(df.sparkSession)
 
     def count(batches):
-        table = np.zeros(1 << RARITY_BITS, np.int64)
+        table = np.zeros(1 << RARITY_BITS, np.int32)
         for batch in batches:
             data, off = column_bytes(batch.column(0))
             for _, _, part, po in chunks(data, off):
                 starts, lens, _ = word_spans(part, po)
                 at, n = np.unique(slot(span_hash(part, starts, lens)), return_counts=True)
-                table[at] += n
+                table[at] += n.astype(np.int32)
         at = np.flatnonzero(table)
         for a in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + (1 << 16)], pa.int32()), pa.array(table[at[a:a + (1 << 16)]])],
+            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + (1 << 16)], pa.int32()), pa.array(table[at[a:a + (1 << 16)]], pa.int64())],
                                              names=["slot", "n"])
 
     counts = (df.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "slot int, n long")
