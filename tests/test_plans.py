@@ -11,8 +11,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
-from tidewater.plans.queries import ROWS_ONLY
+from tidewater.plans.queries import QUERIES, ROWS_ONLY
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -33,7 +32,7 @@ def plan_text(df, mode="formatted") -> str:
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in ROWS_ONLY:  # pipelines write while being built
             continue
         out[name] = plan_text(fn(spark, SF))
