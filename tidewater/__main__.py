@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--since", type=_date)
     ap.add_argument("--until", type=_date)
     ap.add_argument("--chunk-days", type=int, default=10)
-    ap.add_argument("--full-refresh", choices=["true", "false", "auto"], default="false",
+    ap.add_argument("--full-refresh", choices=["true", "false", "auto"], default="auto",
                     help="auto: weekly (Thursday) rule for posts")
     ap.add_argument("--post-mode", default="recent")
     ap.add_argument("--post-limit", type=int, default=1000)
@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
                                  max_files_per_trigger=args.max_files_per_trigger)
         q.awaitTermination()
         return 0
-    ctx = RunContext(spark=spark, landing=read_landing(spark, args.landing), store=store,
+    ctx = RunContext(spark=spark, landing=read_landing(spark, args.landing, run_date=args.run_date), store=store,
                      run_date=args.run_date, load_ts=load_ts, full_refresh=full, since=args.since,
                      until=args.until, post_mode=args.post_mode, post_limit=args.post_limit,
                      on_conflict=args.on_conflict)

@@ -36,7 +36,6 @@ ORACLE: dict[str, str] = {}
 WINDOW_SINCE, WINDOW_UNTIL = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
 STAGED_BEFORE = dt.datetime(1999, 1, 1)
 BATCH_FROM = dt.datetime(1998, 7, 1)
-AUDIT_BEFORE = dt.datetime(1995, 2, 1)
 POST_SNAPSHOT = dt.date(2024, 2, 15)
 POSTS_UNTIL = dt.date(2000, 1, 1)
 BACKFILL_SINCE, BACKFILL_UNTIL = dt.date(1997, 1, 1), dt.date(1997, 3, 1)
@@ -589,31 +588,33 @@ def _mixed_keys(key: str) -> F.Column:
                   ).otherwise(F.col(key).cast("string"))
 
 
-def _early_children(spark, sf) -> DataFrame:
-    return (A.table(spark, sf, "orders").where(F.col("o_orderdate") < _ts(AUDIT_BEFORE))
-            .select(F.col("o_custkey").alias("AdAccountID")))
+def _children(spark, sf) -> DataFrame:
+    """All orders; those of every third customer belong to an account that is not staged."""
+    key = F.col("o_custkey").cast("bigint")
+    return A.table(spark, sf, "orders").select(
+        F.when(key % 3 == 0, key + 1_000_000_000_000).otherwise(key).alias("AdAccountID"))
 
 
 @register("audit_anti_normalized", """
     SELECT 'act_' || c_custkey AS AccountID FROM customer
     WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = TRY_CAST(replace('act_' || c_custkey, 'act_', '') AS BIGINT)
-                      AND o_orderdate < TIMESTAMP '1995-02-01')""")
+                      AND o_custkey % 3 <> 0)""")
 def q_audit_anti_normalized(spark, sf):
     """JN-4: accounts without children, keys normalized and converted."""
     acc = A.table(spark, sf, "customer").select(
         F.concat(F.lit("act_"), F.col("c_custkey").cast("string")).alias("AccountID"))
-    return audits.accounts_without_children(acc, "AccountID", _early_children(spark, sf), "AdAccountID")
+    return audits.accounts_without_children(acc, "AccountID", _children(spark, sf), "AdAccountID")
 
 
 @register("audit_anti_convertible", """
     SELECT k FROM (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'act_' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS k
                    FROM customer) t
     WHERE TRY_CAST(k AS BIGINT) IS NOT NULL AND NOT EXISTS (
-      SELECT 1 FROM orders WHERE o_custkey = TRY_CAST(k AS BIGINT) AND o_orderdate < TIMESTAMP '1995-02-01')""")
+      SELECT 1 FROM orders WHERE o_custkey = TRY_CAST(k AS BIGINT) AND o_custkey % 3 <> 0)""")
 def q_audit_anti_convertible(spark, sf):
     """JN-5: anti join over convertible keys only."""
     keys = A.table(spark, sf, "customer").select(_mixed_keys("c_custkey").alias("k"))
-    return audits.convertible_without_children(keys, "k", _early_children(spark, sf), "AdAccountID")
+    return audits.convertible_without_children(keys, "k", _children(spark, sf), "AdAccountID")
 
 
 @register("audit_key_quality", """
@@ -631,11 +632,11 @@ def q_audit_key_quality(spark, sf):
     SELECT TRY_CAST(k AS BIGINT) AS id FROM (
       SELECT CASE WHEN c_custkey % 2 = 0 THEN 'act_' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS k
       FROM customer) t
-    EXCEPT SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-02-01'""")
+    EXCEPT SELECT CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey AS BIGINT) + 1000000000000 ELSE o_custkey END FROM orders""")
 def q_audit_except(spark, sf):
     """ST-1: EXCEPT DISTINCT of converted ids (unconvertible -> one NULL row)."""
     keys = A.table(spark, sf, "customer").select(_mixed_keys("c_custkey").alias("k"))
-    return audits.except_converted(keys, "k", _early_children(spark, sf), "AdAccountID")
+    return audits.except_converted(keys, "k", _children(spark, sf), "AdAccountID")
 
 
 @register("audit_null_fk", """

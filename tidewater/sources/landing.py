@@ -13,6 +13,8 @@ Spark happened to partition the pages.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +25,19 @@ SEQ_COLS = ("_parent", "_page", "_pos")
 
 
 def read_landing(spark: SparkSession, path: str, entity: str | None = None,
-                 fmt: str = "parquet") -> DataFrame:
-    """SRC-9 for landings: schema-explicit scan, optional entity filter
-    (a partition filter when the landing is laid out by entity)."""
-    df = spark.read.schema(LANDING).format(fmt).load(path)
+                 fmt: str = "parquet", run_date: dt.date | None = None) -> DataFrame:
+    """SRC-9 for landings: schema-explicit scan, optional entity and run filters
+    (partition filters when the landing is laid out by ``entity=/run_date=``).
+
+    A run fetches every parent afresh, so ``run_date`` reads that run's pages
+    alone: page numbers of different runs never mix and completeness is judged
+    for the run. Pages that carry no run date belong to every run.
+    """
+    schema = T.StructType([*LANDING.fields, T.StructField("run_date", T.DateType())])
+    df = spark.read.schema(schema).format(fmt).load(path)
+    if run_date is not None:
+        df = df.where(F.col("run_date").isNull() | (F.col("run_date") == F.lit(run_date)))
+    df = df.select(*LANDING.fieldNames())
     return df.where(F.col("entity") == entity) if entity else df
 
 
