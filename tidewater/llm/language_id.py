@@ -124,7 +124,8 @@ def _scorer(model: LanguageModel):
         width = flat.shape[1]
         return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * width, pa.int32()), pa.array(flat.ravel()))
 
-    return score
+    # so that a filter on the answer is not pushed below the scores, which would compute them twice in one task
+    return score.asNondeterministic()
 
 
 def _softmax(logs: Column) -> Column:
