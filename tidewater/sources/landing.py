@@ -14,6 +14,8 @@ Spark happened to partition the pages.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,10 @@ from pyspark.sql import types as T
 from tidewater.schemas import ENVELOPE, LANDING
 
 SEQ_COLS = ("_parent", "_page", "_pos")
+#: a landed page with the day of the run that fetched it (a partition column; NULL: any run)
+LANDED = T.StructType([*LANDING.fields, T.StructField("run_date", T.DateType())])
+#: one fetch: an endpoint read for a parent by a run
+FETCH = ("entity", "run_date", "parent_id")
 
 
 def read_landing(spark: SparkSession, path: str, entity: str | None = None,
@@ -33,8 +39,7 @@ def read_landing(spark: SparkSession, path: str, entity: str | None = None,
     alone: page numbers of different runs never mix and completeness is judged
     for the run. Pages that carry no run date belong to every run.
     """
-    schema = T.StructType([*LANDING.fields, T.StructField("run_date", T.DateType())])
-    df = spark.read.schema(schema).format(fmt).load(path)
+    df = spark.read.schema(LANDED).format(fmt).load(path)
     if run_date is not None:
         df = df.where(F.col("run_date").isNull() | (F.col("run_date") == F.lit(run_date)))
     df = df.select(*LANDING.fieldNames())
@@ -109,17 +114,36 @@ def complete_parent_rows(rows: DataFrame) -> DataFrame:
     of pages is pre-reduced per task). Output: ``parent_id``."""
     # one row per page: its first record (_pos 0) or the NULL row of an empty page
     per_page = rows.where(F.coalesce(F.col("_pos"), F.lit(0)) == 0)
-    per_parent = per_page.groupBy("_parent").agg(
+    return _finished(per_page, ["_parent"]).select(F.col("_parent").alias("parent_id"))
+
+
+def _finished(per_page: DataFrame, keys: list[str]) -> DataFrame:
+    per_fetch = per_page.groupBy(*keys).agg(
         F.max_by(F.col("_has_next"), F.col("_page")).alias("last_has_next"),
         F.max("_page").alias("max_page"),
         F.count_distinct("_page").alias("n_pages"),
         F.min("_page").alias("min_page"),
         F.count_if(F.col("_bad")).alias("bad_pages"),
     )
-    return per_parent.where(
+    return per_fetch.where(
         ~F.col("last_has_next") & (F.col("min_page") == 0)
         & (F.col("n_pages") == F.col("max_page") + 1) & (F.col("bad_pages") == 0)
-    ).select(F.col("_parent").alias("parent_id"))
+    ).select(*keys)
+
+
+def finished_fetches(pages: DataFrame) -> DataFrame:
+    """SRC-5 over landed pages of several entities and runs: the ``FETCH`` keys
+    (entity, run, parent) of which every page is there."""
+    return _finished(_with_envelope(pages).select(
+        *FETCH, F.col("page_no").alias("_page"), F.col("_env.paging.next").isNotNull().alias("_has_next"),
+        F.col("_env.data").isNull().alias("_bad")), list(FETCH))
+
+
+def pages_without(pages: DataFrame, gone: DataFrame, keys: Sequence[str] = FETCH) -> DataFrame:
+    """Pages whose ``keys`` (null-safe: root endpoints have no parent) ``gone`` does not hold."""
+    gone = gone.select(*[F.col(k).alias(f"_gone_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys]
+    return pages.join(gone, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def complete_parents(pages: DataFrame) -> DataFrame:
@@ -191,7 +215,8 @@ def read_ids(df: DataFrame, column: str, alias: str = "id") -> DataFrame:
 
 
 __all__ = [
-    "SEQ_COLS", "read_landing", "rejected_pages", "page_rows", "parse_records", "explode_pages",
-    "parent_scoped", "complete_parent_rows", "complete_parents", "keep_complete", "complete_records",
+    "SEQ_COLS", "LANDED", "FETCH", "read_landing", "rejected_pages", "page_rows", "parse_records", "explode_pages",
+    "parent_scoped", "complete_parent_rows", "complete_parents", "finished_fetches", "pages_without",
+    "keep_complete", "complete_records",
     "entitled_parents", "skipped_parents", "explode_metric_values", "last_metric_value", "read_ids",
 ]
