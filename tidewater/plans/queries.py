@@ -976,7 +976,21 @@ def q_daily_staging(spark, sf):
     return store.run_log().select("FunctionName", "Status", "RowsReceived", "RowsWritten", "ErrorCount")
 
 
-@register("landing_stream")
+@register("landing_stream", """
+    SELECT o_orderkey AS CampaignID, CAST(o_custkey AS VARCHAR) AS AdAccountID, CAST(NULL AS VARCHAR) AS CampaignName,
+           o_orderpriority AS Objective, CAST(NULL AS VARCHAR) AS BuyingType, o_orderstatus AS Status,
+           CAST(NULL AS VARCHAR) AS ConfiguredStatus, CAST(NULL AS VARCHAR) AS EffectiveStatus,
+           CAST(o_totalprice AS DECIMAL(18,2)) AS DailyBudget, CAST(NULL AS DECIMAL(18,2)) AS LifetimeBudget,
+           CAST(NULL AS DECIMAL(18,2)) AS BudgetRemaining, CAST(NULL AS DECIMAL(18,2)) AS SpendCap,
+           CAST(NULL AS VARCHAR) AS SpecialAdCategories, CAST(NULL AS VARCHAR) AS SpecialAdCategoryCountry,
+           CAST(NULL AS BOOLEAN) AS IsBudgetScheduleEnabled, CAST(NULL AS BOOLEAN) AS IsAdSetBudgetSharingEnabled,
+           CAST(NULL AS VARCHAR) AS DestinationType, CAST(NULL AS BOOLEAN) AS IsDynamicCreative,
+           CAST(NULL AS VARCHAR) AS PacingType, CAST(NULL AS VARCHAR) AS AttributionSpec,
+           CAST(NULL AS BIGINT) AS PromotedObjectPageID, CAST(NULL AS BIGINT) AS PromotedObjectPixelID,
+           CAST(NULL AS BIGINT) AS PromotedObjectAppID, CAST(NULL AS TIMESTAMP) AS StartTime,
+           CAST(NULL AS TIMESTAMP) AS StopTime, CAST(NULL AS TIMESTAMP) AS CreatedTime, o_orderdate AS UpdatedTime,
+           TIMESTAMP '2024-01-20 06:00:00' AS LoadDate
+    FROM orders""")
 def q_landing_stream(spark, sf):
     """Structured Streaming: campaign pages consumed with availableNow + foreachBatch -> Campaign table."""
     from tidewater.plans.pipeline import DIMENSION_STEPS
