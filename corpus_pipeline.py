@@ -22,8 +22,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines that are similar to an earlier line; ``n_chars`` follows the text."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Without lines that are similar to an earlier line, short ones too, so that nothing of a copy stays; ``n_chars`` follows the text."""
+    return line_dedup.dedup_lines(docs, min_words=1).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

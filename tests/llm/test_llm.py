@@ -287,3 +287,20 @@ def test_pipeline_stages(spark, docs):
 def test_every_operator_has_a_query():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_pipeline_leaves_no_fragments_of_copies(spark):
+    import corpus_pipeline as P
+
+    long, other = [_passage(s, 30) for s in range(200, 204)], [_passage(s, 30) for s in range(210, 212)]
+    text = "\n".join(["Les.", long[0], "Read more", long[1], "", "one two three four", long[2], long[3]])
+    near = "\n".join(_near(x, 7) if len(x) > 40 else x for x in text.split("\n"))
+    rows = [(1, text), (2, text), (3, near), (4, text.replace("\n", " \n") + "\n\n"), (5, "\n".join(["Read more", other[0], "My own"])),
+            (6, "\n".join(["Les.", other[1], "one two three four five", "My own"])), (7, "Read more"), (8, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = P.line_stage(spark, docs, SF)
+    got = {r.doc_id: (r.text, r.n_chars) for r in lines.collect()}
+    want = {1: text, 5: f"{other[0]}\nMy own", 6: other[1], 8: None, 9: ""}
+    assert got == {i: (t, None if t is None else len(t)) for i, t in want.items()}
+    kept = {r.doc_id for r in P.near_duplicate_stage(spark, lines, SF).collect()}
+    assert {1, 5, 6} <= kept and not kept & {2, 3, 4, 7}

@@ -17,7 +17,9 @@ equal lines are one set. Words with many lines in their group are dealt to pairs
 of tiles. Of each line only the earliest few candidates of a group are written;
 lines that have more and match none of those are looked at again, in those
 groups, with sixteen times as many, until none is left, so a group of thousands
-of variants costs rows in proportion to its lines and no match is lost.
+of variants costs rows in proportion to its lines and no match is lost. A set of
+so few words that only its equal is similar (fewer than four at 0.8) has no pairs:
+equal sets are found by their key.
 """
 
 from __future__ import annotations
@@ -117,6 +119,11 @@ def prefix_size(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return n - (-(-num * n // den)) + 1
 
 
+def joins(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether a set of n words can be similar to another than itself; the key of a smaller one finds all that it is similar to."""
+    return n * (den - num) >= num
+
+
 def _lines(ranks, min_words: int, num: int, den: int):
     """Every judged line, with the frequent ones among its prefix words."""
     often = 1 + int(4 * np.log2(TILE))
@@ -130,7 +137,7 @@ def _lines(ranks, min_words: int, num: int, den: int):
                 if not len(n):
                     continue
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
-                hot = (pos < np.repeat(prefix_size(n, num, den), n)) & (order_key >> np.uint64(56) >= often)
+                hot = (pos < np.repeat(prefix_size(n, num, den) * joins(n, num, den), n)) & (order_key >> np.uint64(56) >= often)
                 hot_off = np.concatenate([[0], np.cumsum(hot)])[bounds]
                 rows = pa.array(document + i)
                 yield pa.RecordBatch.from_arrays([
@@ -187,7 +194,7 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int, only
                 parity = np.bitwise_xor.reduceat(np.where(second, np.uint64(0), bit), bounds[:-1])
                 parity2 = np.bitwise_xor.reduceat(np.where(second, bit, np.uint64(0)), bounds[:-1])
                 mine = np.zeros(len(n), bool)
-                mine[first] = True
+                mine[first] = joins(n[first], num, den)
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
                 send = np.flatnonzero((pos < np.repeat(prefix_size(n, num, den), n)) & (order_key >> np.uint64(56) > 0) & np.repeat(mine, n))
                 line = np.repeat(np.arange(len(n)), n)[send]
@@ -359,8 +366,8 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """One row per document: id, n_lines, n_removed and removed (line numbers from 0).
 
     Lines end at ``\\n``; words are separated by ASCII white space. Lines of
-    fewer than ``min_words`` distinct words (blank lines, headings) are not
-    judged and stay. A null or empty text has one empty line. Rows that repeat
+    fewer than ``min_words`` (1 or more) distinct words are not judged and stay:
+    blank lines always, with the default also headings. A null or empty text has one empty line. Rows that repeat
     both id and text are one document; null ids come last in corpus order; of
     lines at the same place (an id with two texts) order is by a hash. Other
     columns are not read; an empty table gives no rows.
