@@ -304,3 +304,21 @@ def test_pipeline_leaves_no_fragments_of_copies(spark):
     assert got == {i: (t, None if t is None else len(t)) for i, t in want.items()}
     kept = {r.doc_id for r in P.near_duplicate_stage(spark, lines, SF).collect()}
     assert {1, 5, 6} <= kept and not kept & {2, 3, 4, 7}
+
+
+def test_short_lines_are_judged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "TILE", 8)
+    rnd = random.Random(4)
+    texts = [(i, "\n".join(" ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(0, 9))) for _ in range(6))) for i in range(60)]
+    texts += [(100, "four words only here\none"), (101, "here four words only five\none one"), (102, "only here four\none two"), (103, "\n \n")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, want = [], {}
+    for i, t in texts:
+        sets = [frozenset(w for w in _SPACE.split(line) if w) for line in t.split("\n")]
+        want[i] = []
+        for n, words in enumerate(sets):
+            if words and any(5 * len(words & v) >= 4 * len(words | v) for v in seen):
+                want[i].append(n)
+            seen.append(words)
+    assert want[101] == [0, 1] and want[102] == []       # four words and one more: 0.8; three and one more: less
+    assert {r.doc_id: r.removed for r in QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()} == want

@@ -119,12 +119,12 @@ def prefix_size(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return n - (-(-num * n // den)) + 1
 
 
-def joins(n: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether a set of n words can be similar to another than itself; the key of a smaller one finds all that it is similar to."""
-    return n * (den - num) >= num
+def least_joining(num: int, den: int) -> int:
+    """Words of the smallest set that can be similar to another: n / (n + 1) >= num / den. Smaller ones have only their equals."""
+    return -(-num // max(1, den - num))
 
 
-def _lines(ranks, min_words: int, num: int, den: int):
+def _lines(ranks, min_words: int, joining: int, num: int, den: int):
     """Every judged line, with the frequent ones among its prefix words."""
     often = 1 + int(4 * np.log2(TILE))
 
@@ -137,7 +137,7 @@ def _lines(ranks, min_words: int, num: int, den: int):
                 if not len(n):
                     continue
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
-                hot = (pos < np.repeat(prefix_size(n, num, den) * joins(n, num, den), n)) & (order_key >> np.uint64(56) >= often)
+                hot = (pos < np.repeat(prefix_size(n, num, den) * (n >= joining), n)) & (order_key >> np.uint64(56) >= often)
                 hot_off = np.concatenate([[0], np.cumsum(hot)])[bounds]
                 rows = pa.array(document + i)
                 yield pa.RecordBatch.from_arrays([
@@ -194,7 +194,7 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int, only
                 parity = np.bitwise_xor.reduceat(np.where(second, np.uint64(0), bit), bounds[:-1])
                 parity2 = np.bitwise_xor.reduceat(np.where(second, bit, np.uint64(0)), bounds[:-1])
                 mine = np.zeros(len(n), bool)
-                mine[first] = joins(n[first], num, den)
+                mine[first] = True
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
                 send = np.flatnonzero((pos < np.repeat(prefix_size(n, num, den), n)) & (order_key >> np.uint64(56) > 0) & np.repeat(mine, n))
                 line = np.repeat(np.arange(len(n)), n)[send]
@@ -313,11 +313,12 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     spark = df.sparkSession
     prepare(spark)
     num, den = threshold
+    joining = max(min_words, least_joining(num, den))
     parts = shuffle_partitions(spark)
     text = text_or_empty(text_col)
     source = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     ranks = spark.sparkContext.broadcast(rarity(df, text_col))
-    lines = materialize(source.mapInArrow(_lines(ranks, min_words, num, den), "id long, th long, line int, k long, hot array<long>"),
+    lines = materialize(source.mapInArrow(_lines(ranks, min_words, joining, num, den), "id long, th long, line int, k long, hot array<long>"),
                         "lines")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "th")
     firsts = materialize(lines.groupBy("k").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("many")), "line-sets")
@@ -334,7 +335,7 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
 
     resolved, only, buckets = None, None, 4 * parts
     while True:
-        blocks = source.mapInArrow(_prefixes(ranks, frequent, min_words, num, den, buckets, only), "bucket int, block binary")
+        blocks = source.mapInArrow(_prefixes(ranks, frequent, joining, num, den, buckets, only), "bucket int, block binary")
         pairs = materialize(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
                             .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean, word long, rank long"), "line-pairs")
         del blocks
@@ -342,7 +343,7 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         keys = pairs.select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct()
         keys = materialize(keys.join(firsts, "k").select("k", F.col("first.th").alias("th")), "line-wanted")
         bits, docs = (spark.sparkContext.broadcast(bit_filter(keys, c)) for c in ("k", "th"))
-        sets = materialize(source.select("th", "text").mapInArrow(_wanted_sets(docs, bits, min_words), "k long, words array<long>")
+        sets = materialize(source.select("th", "text").mapInArrow(_wanted_sets(docs, bits, joining), "k long, words array<long>")
                            .groupBy("k").agg(F.any_value("words").alias("words")), "line-words")
         # most lines match one of their two earliest candidates; only the others' pairs are looked at further
         found = materialize(_similar(pairs.where("rank < 2"), sets, num, den), "line-matches")

@@ -109,5 +109,5 @@ def op9_warc(spark, sf_dir):
 
 @_query("op10_line_dedup")
 def op10_line_dedup(spark, sf_dir):
-    """All lines of all documents."""
-    return line_dedup.line_report(documents(spark, sf_dir))
+    """All lines of all documents, whatever their length."""
+    return line_dedup.line_report(documents(spark, sf_dir), min_words=1)
