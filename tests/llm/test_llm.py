@@ -322,3 +322,33 @@ def test_short_lines_are_judged(spark, tmp_path, monkeypatch):
             seen.append(words)
     assert want[101] == [0, 1] and want[102] == []       # four words and one more: 0.8; three and one more: less
     assert {r.doc_id: r.removed for r in QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()} == want
+
+
+def test_masks_hold_a_seed_for_every_placement():
+    import itertools
+
+    for n in range(13, 26):
+        s = n // 5
+        placed = (np.int64(1) << np.array(list(itertools.combinations(range(n), s)))).sum(axis=1)
+        found = np.zeros(len(placed), bool)
+        for mask in decontam.MASKS:
+            keep = sum(1 << j for j, bit in enumerate(mask) if bit == "1")
+            for shift in range(n - len(mask) + 1):
+                found |= (placed & (keep << shift)) == 0
+        rest = [{j for j in range(n) if p >> j & 1} for p in placed[~found].tolist()]
+        assert not rest, (n, rest[:3])
+
+
+@pytest.mark.parametrize("size,least,identity", [(40, 13, 0.8), (13, 13, 0.8), (12, 13, 0.8), (40, 8, 0.7), (14, 16, 0.7)])
+def test_edited_passages_are_found_wherever_the_edits_are(size, least, identity):
+    import itertools
+
+    item = [f"w{k}" for k in range(size)]
+    block = decontam.Block([7], [" ".join(item)], 5, least, identity)
+    n = min(size, least)
+    at = (size - n) // 2
+    for changed in itertools.combinations(range(n), int((1 - identity) * n + 1e-9)):
+        text = [f"x{k}" if k in changed else w for k, w in enumerate(item[at:at + n])]
+        raw = " ".join(["so", *text, "end"]).encode()
+        wh, first = decontam.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert block.hits(wh, first, least, identity).get(0, {}).get(0, (0, 0))[0] >= n, changed

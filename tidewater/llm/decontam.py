@@ -1,8 +1,11 @@
 """Benchmark decontamination with spaced seeds.
 
-Texts become lower-case alphanumeric tokens. Fixed masks over windows of twelve
-tokens keep eight positions and ignore four, so a window with a few substituted
-tokens still has the seed of its original under some mask. Training windows
+Texts become lower-case alphanumeric tokens. Fixed masks over windows of up to
+thirteen tokens keep seven or eight positions and ignore the others. Together
+they hold a seed for every placement of substitutions in a stretch of 13 tokens
+or more of which 80 % are equal (a stretch of 26 or more has a half that is equal
+enough, so 13 to 25 decide). Other parameters take runs of the length that some
+run between the substitutions must have. Training windows
 whose seed is one of the benchmark's are hits; around each hit the document and
 the item are laid side by side and the longest stretch with enough equal tokens
 is measured.
@@ -15,6 +18,7 @@ turns away almost every window before the sorted seeds are searched.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -24,7 +28,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import LOWER, NOT_ALNUM, prepare, chunks, column_bytes, mix, powers, span_hash, text_or_empty, word_spans
 
 #: fixed masks: 1 takes a token, 0 ignores it
-MASKS = ("111011011001", "110100110111", "101110010111", "111100101011")
+MASKS = ("111011011001", "110100110111", "101110010111", "111100101011", "11101111", "11010100111", "1100011111",
+         "1011001100011", "1111100000101")
+#: the masks hold a seed of every stretch from this length and share of equal tokens on
+COVERED, COVERED_IDENTITY = 13, 0.8
+#: shorter items must be found whole, without a substitution
 SPAN = 12
 #: seeds of a block: 8 + 8 bytes each are broadcast
 BLOCK_SEEDS = 1 << 20
@@ -53,22 +61,52 @@ def seeds(wh: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
+def substitutions(length: int, identity: float) -> int:
+    """The most tokens in which a stretch may differ."""
+    return int((1 - identity) * length + 1e-9)
+
+
+def stretch_masks(least: int, identity: float) -> tuple[str, ...]:
+    """Masks that hold a seed of every stretch of ``least`` tokens or more (a longer one than twice that has a half that counts)."""
+    if least >= COVERED and identity >= COVERED_IDENTITY:
+        return MASKS
+    runs_ = []
+    for n in range(least, 2 * least):
+        s = substitutions(n, identity)
+        runs_.append(-(-(n - s) // (s + 1)))
+    return ("1" * max(1, min(runs_)),)
+
+
+def whole_masks(size: int, identity: float) -> tuple[str, ...]:
+    """Masks for items of ``size`` tokens that must be found whole: of two blocks more than substitutions, two are equal."""
+    if size < SPAN:
+        return ("1" * size,)
+    if size >= COVERED and identity >= COVERED_IDENTITY:
+        return MASKS
+    count = min(size, substitutions(size, identity) + 2)
+    cut = [size * k // count for k in range(count + 1)]
+    if count < substitutions(size, identity) + 2:
+        return ("1",)
+    return tuple("".join("1" if any(cut[b] <= j < cut[b + 1] for b in two) else "0" for j in range(size))
+                 for two in itertools.combinations(range(count), 2))
+
+
 class Block:
     """Seeds and tokens of some benchmark items."""
 
-    def __init__(self, ids: list[int], texts: list[str], min_tokens: int):
+    def __init__(self, ids: list[int], texts: list[str], min_tokens: int, min_overlap: int = 13, identity: float = 0.8):
         raw = [t.encode() for t in texts]
         off = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         wh, first = tokens(np.frombuffer(b"".join(raw), np.uint8), off)
         self.ids, self.wh, self.first = np.array(ids, np.int64), wh, first
         size = np.diff(first)
-        self.masks = list(MASKS) + ["1" * m for m in sorted({int(x) for x in size if min_tokens <= x < SPAN})]
-        self.tables = []
-        for k, mask in enumerate(self.masks):
-            rows = [i for i in range(len(ids)) if (size[i] >= SPAN if k < len(MASKS) else size[i] == len(mask))]
-            if not rows:
-                self.tables.append(None)
-                continue
+        taken: dict[str, list[int]] = {}
+        for i in np.flatnonzero(size >= min_tokens).tolist():
+            n = int(size[i])
+            for mask in whole_masks(n, identity) if n < max(SPAN, min_overlap) else stretch_masks(min_overlap, identity):
+                taken.setdefault(mask, []).append(i)
+        self.masks, self.tables = list(taken), []
+        for mask, rows in taken.items():
             got = [seeds(wh[first[i]:first[i + 1]], mask) for i in rows]
             key = np.concatenate(got)
             place = np.concatenate([np.arange(first[i], first[i] + len(g)) for i, g in zip(rows, got)])
@@ -83,8 +121,6 @@ class Block:
         found: dict[int, dict[int, tuple]] = {}
         tried: set[tuple[int, int, int]] = set()
         for mask, table in zip(self.masks, self.tables):
-            if table is None:
-                continue
             keys, place, item, bits = table
             h = seeds(wh, mask)
             top = h >> np.uint64(64 - _BITS)
@@ -126,7 +162,7 @@ class Block:
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", min_tokens: int = 5,
-           block_seeds: int = BLOCK_SEEDS) -> list[Block]:
+           block_seeds: int = BLOCK_SEEDS, min_overlap: int = 13, identity: float = 0.8) -> list[Block]:
     """The benchmark in blocks; how many follows from its size, and each is bounded."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).where("id IS NOT NULL")
     letters = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -135,7 +171,7 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     for k in range(count):
         rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == k).orderBy("id", "text").collect()
         if rows:
-            out.append(Block([r.id for r in rows], [r.text for r in rows], min_tokens))
+            out.append(Block([r.id for r in rows], [r.text for r in rows], min_tokens, min_overlap, identity))
     return out
 
 
@@ -144,8 +180,8 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", m
     """``df`` with an array of the benchmark items that each text overlaps.
 
     An item counts where a stretch of at least ``min_overlap`` tokens (the whole
-    item if it is shorter) has ``identity`` or more equal tokens side by side and
-    holds a seed. Items of fewer than twelve tokens must be found whole; items
+    item if it is shorter) has ``identity`` or more equal tokens side by side.
+    Items of fewer than twelve tokens must be found whole; items
     of fewer than ``min_tokens`` tokens say nothing and are left out, as are
     items with a null id. A null or empty text overlaps nothing (empty array);
     repeated rows and ties are answered alike; an empty table stays empty. A
@@ -154,7 +190,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", m
     spark = df.sparkSession
     prepare(spark)
     found = [_looker(spark.sparkContext.broadcast(block), min_overlap, identity)(text_or_empty(text_col))
-             for block in blocks(benchmark, min_tokens=min_tokens)]
+             for block in blocks(benchmark, min_tokens=min_tokens, min_overlap=min_overlap, identity=identity)]
     hits = F.concat(*found) if found else F.array().cast(HITS)
     return df.withColumn(out_col, hits)
 
