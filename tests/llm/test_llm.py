@@ -352,3 +352,26 @@ def test_edited_passages_are_found_wherever_the_edits_are(size, least, identity)
         raw = " ".join(["so", *text, "end"]).encode()
         wh, first = decontam.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         assert block.hits(wh, first, least, identity).get(0, {}).get(0, (0, 0))[0] >= n, changed
+
+
+def test_suffix_dedup_bounds_the_group_of_an_anchor(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 8000)
+    monkeypatch.setattr(suffix_dedup, "HOT_WINDOWS", 10)
+    passage, rare = _passage(300, 110)[:600], _passage(301, 110)[:450]
+    texts = [_passage(400 + k, 30) + passage + _passage(500 + k, 30) for k in range(30)]
+    texts += [_passage(600, 30) + rare + _passage(601, 30), _passage(602, 30) + rare + passage[:430] + "x" + passage[100:], "ab" * 700, passage[100:550]]
+    texts.append(texts[3])
+    splits, split = [], suffix_dedup.split_hot
+    monkeypatch.setattr(suffix_dedup, "split_hot", lambda bodies, limit: splits.append((bodies, split(bodies, limit))) or splits[-1][1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs).collect()}
+    seen = collections.Counter(t[k:k + 400] for t in texts for k in range(len(t) - 399))
+    for i, t in enumerate(texts):
+        gone = bytearray(len(t))
+        for k in range(len(t) - 399):
+            if seen[t[k:k + 400]] > 1:
+                gone[k:k + 400] = b"\1" * 400
+        assert got[i] == (sum(gone), bytes(c for c, g in zip(t.encode(), gone) if not g)), i
+    (bodies, (cold, hot)), = splits
+    assert hot is not None and cold.count() + hot.count() == bodies.count() and cold.count() > 0
+    assert all(r.n <= 8000 for r in cold.groupBy("anchor").agg(F.sum(F.length("body")).alias("n")).collect())

@@ -12,6 +12,10 @@ Burrows-Wheeler transform and common prefixes are built column by column: each
 round inserts the next phrase (from the right) of every document, by sequential
 passes over external files. The common prefixes tell which windows' phrases
 occur twice; those windows are checked exactly, byte by byte.
+
+The group of an anchor is bounded: where its distinct segments are more than
+HOT_BYTES (a passage that stands between ever different neighbours), they are
+spread over all tasks and their windows meet by hash instead, then by digest.
 """
 
 from __future__ import annotations
@@ -33,6 +37,10 @@ ANCHOR = 100
 GRAM, REACH = 8, 16
 #: entries of the external files that one step reads
 STEP = 1 << 17
+#: bytes of distinct segments of one anchor that a task takes at once
+HOT_BYTES = 4 << 20
+#: windows with one digest that a task takes at once
+HOT_WINDOWS = 10_000
 
 _INVERSE = np.uint64(pow(int(_MULT), -1, 1 << 64))
 _INVERSES = np.ones(1, np.uint64)
@@ -397,6 +405,87 @@ def _matches(length: int):
     return run
 
 
+def _windows(data: np.ndarray, off: np.ndarray, length: int):
+    """The segment, place and hash of each window of some segments."""
+    count = np.maximum(np.diff(off) - length + 1, 0)
+    window = ragged(off[:-1], count)
+    return np.repeat(np.arange(len(count)), count), window, rolling(data, length)[window]
+
+
+def _window_hashes(length: int):
+    def run(batches):
+        for batch in batches:
+            data, off = column_bytes(batch.column(0))
+            for _, _, part, po in chunks(data, off):
+                h, n = np.unique(_windows(part, po, length)[2], return_counts=True)
+                if len(h):
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["w", "n"])
+    return run
+
+
+def _window_digests(length: int, bits):
+    """Segment, place in it and digest of the windows whose hash may be repeated."""
+    def run(batches):
+        for batch in batches:
+            data, off = column_bytes(batch.column(1))
+            for i, _, part, po in chunks(data, off):
+                owner, window, h = _windows(part, po, length)
+                ok = passes(bits.value, h)
+                owner, window = owner[ok], window[ok]
+                if not len(owner):
+                    continue
+                raw = part.tobytes()
+                digests = [hashlib.blake2b(raw[a:a + length], digest_size=16).digest() for a in window.tolist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner + i)), pa.array((window - po[owner]).astype(np.int32)),
+                                                  pa.array(digests, pa.binary())], names=["row", "at", "d"])
+    return run
+
+
+def _runs(batches):
+    """Sorted places of a segment's windows as runs."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        places = batch.column(1)
+        at, size = places.flatten().to_numpy(), places.value_lengths().to_numpy()
+        owner = np.repeat(np.arange(len(size)), size)
+        head = np.ones(len(at), bool)
+        head[1:] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
+        first = np.flatnonzero(head)
+        last = np.append(first[1:], len(at)) - 1
+        bounds = pa.array(np.append(0, np.cumsum(np.bincount(owner[first], minlength=len(size)))), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(bounds, pa.array(at[first], pa.int32())),
+                                          pa.ListArray.from_arrays(bounds, pa.array(at[last] + 1, pa.int32()))], names=["seg", "begin", "end"])
+
+
+def split_hot(bodies: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Segments of the anchors with at most ``limit`` bytes of them, and those of the others if there are any."""
+    hot = materialize(bodies.groupBy("anchor").agg(F.sum(F.length("body")).alias("bytes")).where(F.col("bytes") > limit).select("anchor"),
+                      "suffix-hot-anchors")
+    if hot.isEmpty():
+        return bodies, None
+    return bodies.join(F.broadcast(hot), "anchor", "left_anti"), bodies.join(F.broadcast(hot), "anchor", "left_semi")
+
+
+def hot_matches(bodies: DataFrame, length: int) -> DataFrame:
+    """What ``_matches`` gives, window by window: no group grows with an anchor's segments."""
+    context = bodies.sparkSession.sparkContext
+    distinct = bodies.groupBy("seg").agg(F.any_value("body").alias("body")).withColumn("row", F.monotonically_increasing_id())
+    distinct = materialize(distinct, "suffix-hot-segments")
+    twice = (distinct.select("body").mapInArrow(_window_hashes(length), "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+             .where("n > 1").select("w"))
+    bits = context.broadcast(bit_filter(twice, "w"))
+    windows = materialize(distinct.select("row", "body").mapInArrow(_window_digests(length, bits), "row long, at int, d binary"),
+                          "suffix-hot-windows")
+    repeated = materialize(windows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-hot-repeated")
+    often = F.broadcast(repeated.where(F.col("n") > HOT_WINDOWS).select("d"))
+    hits = (windows.join(often, "d", "left_semi")
+            .unionByName(windows.join(often, "d", "left_anti").join(repeated.where(F.col("n") <= HOT_WINDOWS).select("d"), "d", "left_semi")))
+    places = hits.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    return (places.join(distinct.select("row", "seg"), "row").select("seg", "places")
+            .mapInArrow(_runs, "seg binary, begin array<int>, end array<int>"))
+
+
 def _cut(length: int, keep_text: bool):
     def run(batches):
         for batch in batches:
@@ -439,8 +528,11 @@ def repeated_spans(source: DataFrame, length: int) -> DataFrame:
                         "suffix-segments")
     places = found.select("id", "th", "window", "n", "seg")
     copies = places.groupBy("seg").agg(F.count(F.lit(1)).alias("copies"))
-    matches = (found.where("body IS NOT NULL").select("anchor", "seg", "inner", "body").repartition(parts, "anchor")
+    cold, hot = split_hot(found.where("body IS NOT NULL").select("anchor", "seg", "inner", "body"), HOT_BYTES)
+    matches = (cold.repartition(parts, "anchor")
                .sortWithinPartitions("anchor").mapInArrow(_matches(length), "seg binary, begin array<int>, end array<int>"))
+    if hot is not None:
+        matches = matches.unionByName(hot_matches(hot, length))
     marks = copies.join(matches, "seg", "left").where("copies > 1 OR begin IS NOT NULL")
     marks = materialize(marks.select("seg", "copies", F.arrays_zip("begin", "end").alias("runs")), "suffix-marks")
     whole = F.array(F.struct(F.col("window").alias("begin"), (F.col("window") + F.col("n")).alias("end")))
