@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, language_id, line_dedup, ngram_join, quality, suffix_dedup, token_files, warc
+from . import bpe, decontam, hard_negatives, language_id, line_dedup, ngram_join, pieces, quality, suffix_dedup, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
 #: folder of the public vocabularies (a parameter of every operator that takes one)
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +112,34 @@ def op9_warc(spark, sf_dir):
 def op10_line_dedup(spark, sf_dir):
     """All lines of all documents, whatever their length."""
     return line_dedup.line_report(documents(spark, sf_dir), min_words=1)
+
+
+@_query("op11_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 10""")
+def op11_hard_negatives(spark, sf_dir):
+    """All rows against the anchors, with the label of every seventh id off by one."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.hard_negatives(rows, label=label)
+
+
+@_query("op13_sentencepiece")
+def op13_sentencepiece(spark, sf_dir):
+    """All documents encoded with an end id and decoded."""
+    got = pieces.encode_decode(documents(spark, sf_dir), vocabulary(PIECE_BPE))
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return got.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
