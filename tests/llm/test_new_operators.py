@@ -1,12 +1,14 @@
 """Hard negatives, conversation repair and the SentencePiece codec against brute force and the library."""
 import collections
+import hashlib
 import random
+import re
+import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
-from tidewater.llm import hard_negatives, pieces
-from tidewater.llm.queries import PIECE_BPE, vocabulary
+from tidewater.llm import conversation_repair, hard_negatives, pieces
+from tidewater.llm.queries import PIECE_BPE, QUERIES, vocabulary
 
 
 # -- SentencePiece ---------------------------------------------------------------
@@ -109,3 +111,116 @@ def test_hard_negative_scores_beyond_53_and_64_bits(spark):
     rows = [(0, 1, [3e7, 1.5]), (1, 1, [2.9e7, 7.0]), (2, 2, [1.0e7, 3.0]), (3, 2, [2e7, 1.0]), (100, 3, [1e300, 0.0]), (101, 3, [1e300, 1.0]), (102, 4, [1e17, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>")
     assert collections.Counter(tuple(r) for r in hard_negatives.hard_negatives(df).collect()) == _hard(rows, 5, 10)
+
+
+# -- conversation repair ------------------------------------------------------------
+
+
+_BLANK = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def _damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        hit = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if hit == 0:
+            continue
+        text = "" if hit == 1 else re.sub("[.!?]", "", text) if hit == 2 else text
+        out += [(conv, turn, "user" if hit == 4 else role, text)] * (2 if hit == 3 else 1)
+    return out
+
+
+def _cheapest(rows):
+    """(cost, audit, repaired rows) by comparing whole edit strings, last row first."""
+    turn_of = {"": "u", "s": "u", "u": "a", "a": "u"}                  # what may be inserted behind an initial
+    follows = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+
+    def with_insertions(best):
+        for _ in range(3):
+            best = {q: min([best[q], *([(best[t][0] + 2, "I" + best[t][1], ((t,), best[t][2]))] if best[t] else [])], key=lambda x: x[:2]) if best[q]
+                    else (best[t][0] + 2, "I" + best[t][1], ((t,), best[t][2])) if best[t] else None for q, t in turn_of.items()}
+        return best
+
+    best = with_insertions({"": (0, "", None), "a": (0, "", None), "s": None, "u": None})
+    for role, text, fault in reversed(rows):
+        now = {}
+        for q, t in turn_of.items():
+            options = [(best[q][0] + 3, "D" + best[q][1], best[q][2])]
+            if fault not in ("blank", "duplicate"):
+                extra = fault == "truncated"
+                to = follows.get((q, role[:1]))
+                if to:
+                    options.append((best[to][0] + extra, "K" + best[to][1], ((role, text), best[to][2])))
+                options.append((best[t][0] + 2 + extra, "R" + best[t][1], ((t, text), best[t][2])))
+            now[q] = min(options, key=lambda x: x[:2])
+        best = with_insertions(now)
+    cost, audit, chain = best[""]
+    left = []
+    while chain:
+        row, chain = chain
+        role = {"u": "user", "a": "assistant"}.get(row[0], row[0])
+        left.append(f"{role}:{row[1] if len(row) > 1 else ''}")
+    return cost, audit, "\n".join(left)
+
+
+def _repair(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        mine = sorted((r for r in _damage(rows) if r[0] == conv),
+                      key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.md5(r[3].encode()).hexdigest()))
+        seen, marked, count = set(), [], collections.Counter()
+        for _, _, role, text in mine:
+            fault = ("blank" if not _BLANK.search(text) else "duplicate" if (role, text) in seen
+                     else "truncated" if _BLANK.findall(text)[-1] not in ".!?" else None)
+            seen.add((role, text))
+            marked.append((role, text, fault))
+            count[fault] += 1
+        turns = [r[1] for r in mine if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(marked, marked[1:]))
+        cost, audit, text = _cheapest(marked)
+        out[conv] = (gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest())
+    return out
+
+
+def _conversations(rnd, n):
+    roles = ["user", "user", "assistant", "assistant", "system", "tool", "", None, "uncle"]
+    texts = ["Yes.", "No!", "Why", "", " \t\n", None, "So it is?  ", "cut off ", "a.\u0085", "Well...", "end.\n", " "]
+    return [(rnd.randrange(n), rnd.choice([None, *range(8)]), rnd.choice(roles), rnd.choice(texts)) for _ in range(5 * n)]
+
+
+def _repair_table(spark, tmp_path, rows):
+    spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, seq int, conv string").repartition(3).write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    got = QUERIES["op12_conversation_repair"](spark, str(tmp_path))
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    rows = got.collect()
+    assert len(rows) == len({r.conv_id for r in rows})
+    return {r.conv_id: tuple(r)[1:] for r in rows}
+
+
+def test_conversation_repair_equals_brute_force(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = _conversations(rnd, 300) + [(None, t, "user", "Hm.") for t in range(9)] + [(None, None, None, None)]
+    rows += [(900, -5, "user", "a."), (900, 2**40, "assistant", "b."), (901, 3, "user", "same."), (901, 3, "user", "same.")]
+    assert _repair_table(spark, tmp_path, rows) == _repair(rows)
+    assert conversation_repair.repair(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_a_conversation_over_many_tasks_and_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(conversation_repair, "PIECE_ROWS", 7)
+    rnd = random.Random(7)
+    roles = ["user", "assistant", "assistant", "system", "tool"]
+    rows = [(1, k // 3 if k % 11 else None, rnd.choice(roles) if k % 400 < 250 else "tool", rnd.choice(["Yes.", "no", "", f"text {k}.", f"cut {k}"])) for k in range(1500)]
+    rows += [(1, 9000, "user", "many times.")] * 300 + _conversations(rnd, 20)
+    assert _repair_table(spark, tmp_path, rows) == _repair(rows)
+
+
+def test_repair_of_very_long_runs():
+    """Powers give the costs of runs that no one would walk through."""
+    runs = (("u", 10**15), ("a", 1), ("x", 10**12))
+    cost = conversation_repair.before(runs, conversation_repair.last_costs())[conversation_repair.START]
+    assert cost == 10**15 + 3 * 10**12                       # every second row gets another role or an answer before it
+    audit, _ = conversation_repair.plan((("o", 1000), ("x", 3), ("S", 2)))
+    assert audit == _cheapest([("o", "", None)] * 1000 + [("x", "", "blank")] * 3 + [("s", "", "truncated")] * 2)[1]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, hard_negatives, language_id, line_dedup, ngram_join, pieces, quality, suffix_dedup, token_files, warc
+from . import bpe, conversation_repair, decontam, hard_negatives, language_id, line_dedup, ngram_join, pieces, quality, suffix_dedup, token_files, warc
 from .common import documents
 from .exact_dedup import exact_dedup
 
@@ -137,6 +137,19 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(rows, label=label)
 
 
+@_query("op12_conversation_repair")
+def op12_conversation_repair(spark, sf_dir):
+    """All conversations after damage that depends on a checksum of conversation and turn."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    hit = F.crc32(place.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    rows = rows.select("conv_id", "turn", F.when(hit == 4, "user").otherwise(F.col("role")).alias("role"),
+                       F.when(hit == 1, "").when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+                       F.when(hit == 0, 0).when(hit == 3, 2).otherwise(1).alias("copies"))
+    return conversation_repair.repair(rows, copies=F.col("copies"))
+
+
 @_query("op13_sentencepiece")
 def op13_sentencepiece(spark, sf_dir):
     """All documents encoded with an end id and decoded."""
