@@ -22,8 +22,6 @@ kept in a bounded cache, and texts of any length are worked on in windows.
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -35,7 +33,7 @@ SPACE_MARK = "▁"
 #: characters of a text that are cut into parts at a time
 WINDOW = 1 << 18
 #: parts and pairs that a worker remembers, and the longest part among them
-MOST_PARTS, MOST_PAIRS, LONGEST_PART = 200_000, 500_000, 64
+MOST_PARTS, MOST_PAIRS, LONGEST_PART = 400_000, 1_000_000, 64
 _JOIN_BITS = 22
 _NEVER = float("-inf")
 
@@ -65,9 +63,15 @@ class PieceModel:
         self.end = model.trainer_spec.eos_id
         self.text_of = {i: p.piece for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL}
         self.size = len(model.pieces)
+        self.plain_of = {i: piece.replace(SPACE_MARK, " ") for i, piece in self.text_of.items()}
+        self._history: dict[str, tuple] = {}
+        self._shorter: dict[str, str] = {}
+        self._pairs: dict[str, dict[str, bool]] = {}
+        self._known_pairs = 0
         self.automaton = ahocorasick.Automaton()
         for piece in self.id:
-            self.automaton.add_word(piece[::-1], len(piece))
+            if self.history(piece)[0]:                      # others are merged in another way and never stand in a result
+                self.automaton.add_word(piece[::-1], len(piece))
         self.automaton.make_automaton()
         # pairs of characters that stand side by side in a piece, hashed: a shared slot only leaves a cut out
         self.joined = np.zeros(1 << _JOIN_BITS, bool)
@@ -75,9 +79,6 @@ class PieceModel:
         if pairs:
             at = np.array([(ord(a), ord(b)) for a, b in pairs], np.uint32)
             self.joined[_pair_slot(at[:, 0], at[:, 1])] = True
-        self._history: dict[str, tuple] = {}
-        self._shorter: dict[str, str] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
         self.parts = _Parts(self)
 
     # -- compatibility -------------------------------------------------------------
@@ -104,9 +105,6 @@ class PieceModel:
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether no merge crosses the border when ``left`` and ``right`` are merged side by side."""
-        known = self._pairs.get((left, right))
-        if known is not None:
-            return known
         (_, a, _, last), (_, b, first, _) = self.history(left), self.history(right)
         i = j = 0
         while True:
@@ -121,19 +119,19 @@ class PieceModel:
                 i += 1
             else:
                 j += 1
-        if len(self._pairs) >= MOST_PAIRS:
+        if self._known_pairs >= MOST_PAIRS:
             self._pairs.clear()
-        self._pairs[left, right] = known
+            self._known_pairs = 0
+        self._pairs.setdefault(left, {})[right] = known
+        self._known_pairs += 1
         return known
 
     def shorter(self, piece: str) -> str:
-        """The longest proper prefix that is a piece or one character; empty for one character."""
-        got = self._shorter.get(piece)
-        if got is None:
-            got = piece[:-1]
-            while len(got) > 1 and got not in self.id:
-                got = got[:-1]
-            self._shorter[piece] = got
+        """The longest proper prefix that is a piece of its own or one character; empty for one character."""
+        got = piece[:-1]
+        while len(got) > 1 and not (got in self.id and self.history(got)[0]):
+            got = got[:-1]
+        self._shorter[piece] = got
         return got
 
     # -- encoding --------------------------------------------------------------------
@@ -145,25 +143,33 @@ class PieceModel:
         for end, size in self.automaton.iter(text[::-1]):
             if size > longest[n - 1 - end]:
                 longest[n - 1 - end] = size
-        failed = bytearray(n // 8 + 1)
+        shorter, none = self._shorter, {}
+        failed, any_failed = bytearray(n // 8 + 1), False
         found: list[str] = []
-        at, here = 0, text[:longest[0]]
+        at, here, known = 0, text[:longest[0]], None
         while at < n:
-            last = found[-1] if found else ""
             while here:
                 to = at + len(here)
-                if not failed[to >> 3] >> (to & 7) & 1 and self.history(here)[0] and (not last or self.compatible(last, here)):
-                    break
-                here = self.shorter(here)
+                if not (any_failed and failed[to >> 3] >> (to & 7) & 1):
+                    if known is None:
+                        break
+                    fits = known.get(here)
+                    if self.compatible(found[-1], here) if fits is None else fits:
+                        break
+                here = shorter[here] if here in shorter else self.shorter(here)
             if here:
                 found.append(here)
-                at += len(here)
-                here = text[at:at + longest[at]] if at < n else ""
+                at = to
+                if at < n:
+                    known = self._pairs.get(here, none)
+                    here = text[at:at + longest[at]]
             else:                                  # nothing fits behind the last piece: take it back
                 failed[at >> 3] |= 1 << (at & 7)
+                any_failed = True
                 here = found.pop()
                 at -= len(here)
-                here = self.shorter(here)
+                known = self._pairs.get(found[-1], none) if found else None
+                here = shorter[here] if here in shorter else self.shorter(here)
         return found
 
     def ids(self, part: str) -> list[int]:
@@ -200,11 +206,11 @@ class PieceModel:
         ids, texts = [], []
         for parts in self.windows(text):
             self.parts.trim()
-            got = [self.parts[x] for x in parts]
-            ids.append(np.fromiter(chain.from_iterable([x for x, _ in got]), np.int32))
-            texts.append("".join([x for _, x in got]))
-        ids.append(np.array([self.end], np.int32))
-        return np.concatenate(ids), "".join(texts)[len(self.prefix):]      # the first piece begins with the prefix
+            got = list(map(self.parts.__getitem__, parts))
+            ids += [x for x, _ in got]
+            texts += [x for _, x in got]
+        ids.append(np.int32(self.end).tobytes())
+        return np.frombuffer(b"".join(ids), np.int32), "".join(texts)[len(self.prefix):]      # the first piece begins with the prefix
 
     # -- decoding ----------------------------------------------------------------------
 
@@ -236,21 +242,30 @@ class PieceModel:
 
 
 class _Parts(dict):
-    """part -> (ids, their text): what was encoded before, up to a bounded number of short parts."""
+    """part -> (ids, their text): what was encoded before, up to a bounded number of short parts.
+
+    When half of them are new, those that were not used since the last time go.
+    """
 
     def __init__(self, model: PieceModel):
-        self.model = model
+        self.model, self.older = model, {}
 
     def __missing__(self, part: str):
-        ids = self.model.ids(part)
-        # a run of byte ids ends with its part: bytes come from whole characters
-        got = (tuple(ids), self.model.plain(ids))
+        got = self.older.get(part)
+        if got is None:
+            ids = self.model.ids(part)
+            try:
+                text = "".join([self.model.plain_of[i] for i in ids])
+            except KeyError:                       # a run of byte ids ends with its part: bytes come from whole characters
+                text = self.model.plain(ids)
+            got = np.array(ids, np.int32).tobytes(), text
         if len(part) <= LONGEST_PART:
             self[part] = got
         return got
 
     def trim(self) -> None:
-        if len(self) > MOST_PARTS:
+        if len(self) > MOST_PARTS // 2:
+            self.older = dict(self)
             self.clear()
 
 
