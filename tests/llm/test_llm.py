@@ -140,12 +140,12 @@ def test_line_dedup(docs, empty, monkeypatch):
     gone = collections.Counter()
     for a, (d, n, words) in enumerate(lines):
         gone[distinct[d]] += any(5 * len(words & v) >= 4 * len(words | v) for _, _, v in lines[:a])
-    rows = line_dedup.line_report(docs, most=2).collect()
+    rows = line_dedup.line_report(docs, most=2, min_words=5).collect()
     want = sorted((k[0][1] if not k[0][0] else -1, k[1].count("\n") + 1, gone[k]) for k in distinct)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_lines, r.n_removed) for r in rows)
     assert [x for x in got if x[0] != 15] == [x for x in want if x[0] != 15]     # an id with two texts: order is by a hash
     assert len(got) == len(want) and all(r.n_removed == len(r.removed) for r in rows)
-    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, min_words=5).collect()}
     assert 2 not in out and 3 not in out and out[11] == "other\n\n" and out[4] is None and out[5] == ""
     assert line_dedup.line_report(empty).count() == 0 and line_dedup.dedup_lines(empty).columns == docs.columns
 

@@ -14,10 +14,12 @@ never wrong. A word that occurs once cannot be shared and is not sent.
 
 Scale: only words of prefixes (53 bytes each, packed) are shuffled, never texts;
 equal lines are one set. Words with many lines in their group are dealt to pairs
-of tiles. Of each line only the earliest few candidates of a group are written;
-lines that have more and match none of those are looked at again, in those
-groups, with sixteen times as many, until none is left, so a group of thousands
-of variants costs rows in proportion to its lines and no match is lost. A set of
+of tiles, by the number of sets, not of lines. Of each line only the earliest few
+candidates of a group are written; where a line has more, the group's records are
+written once as well, and lines that match none of their candidates are looked at
+again in them, with sixteen times as many, until none is left. So a group of
+thousands of variants costs rows in proportion to its lines, no match is lost and
+no text is read again. A set of
 so few words that only its equal is similar (fewer than four at 0.8) has no pairs:
 equal sets are found by their key.
 """
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (SPACE, bit_filter, chunks, column_bytes, materialize, mix, passes, prepare, release, shuffle_partitions,
+from .common import (SPACE, bit_filter, chunks, column_bytes, materialize, mix, passes, prepare, ragged, release, shuffle_partitions,
                      span_hash, text_or_empty, whole_groups, word_spans)
 from .ngram_join import group_pairs
 
@@ -60,16 +62,15 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
     prepare(df.sparkSession)
 
     def count(batches):
-        table = np.zeros(1 << RARITY_BITS, np.int32)
+        table = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             data, off = column_bytes(batch.column(0))
             for _, _, part, po in chunks(data, off):
                 starts, lens, _ = word_spans(part, po)
-                at, n = np.unique(slot(span_hash(part, starts, lens)), return_counts=True)
-                table[at] += n.astype(np.int32)
+                np.add.at(table, slot(span_hash(part, starts, lens)), 1)
         at = np.flatnonzero(table)
         for a in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + (1 << 16)], pa.int32()), pa.array(table[at[a:a + (1 << 16)]], pa.int64())],
+            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + (1 << 16)], pa.int32()), pa.array(table[at[a:a + (1 << 16)]])],
                                              names=["slot", "n"])
 
     counts = (df.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "slot int, n long")
@@ -125,7 +126,7 @@ def least_joining(num: int, den: int) -> int:
 
 
 def _lines(ranks, min_words: int, joining: int, num: int, den: int):
-    """Every judged line, with the frequent ones among its prefix words."""
+    """Every judged line; the first of each set in a chunk carries the frequent ones among its prefix words."""
     often = 1 + int(4 * np.log2(TILE))
 
     def run(batches):
@@ -136,8 +137,10 @@ def _lines(ranks, min_words: int, joining: int, num: int, den: int):
                 n = np.diff(bounds)
                 if not len(n):
                     continue
+                once = np.zeros(len(n), bool)
+                once[np.unique(key, return_index=True)[1]] = True
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
-                hot = (pos < np.repeat(prefix_size(n, num, den) * (n >= joining), n)) & (order_key >> np.uint64(56) >= often)
+                hot = (pos < np.repeat(prefix_size(n, num, den) * (once & (n >= joining)), n)) & (order_key >> np.uint64(56) >= often)
                 hot_off = np.concatenate([[0], np.cumsum(hot)])[bounds]
                 rows = pa.array(document + i)
                 yield pa.RecordBatch.from_arrays([
@@ -170,7 +173,7 @@ def unpack(blobs: list[bytes]) -> dict[str, np.ndarray]:
     return {name: np.concatenate(x) for name, x in parts.items()}
 
 
-def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int, only):
+def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
     """Prefix words of the distinct sets of a chunk, each with its first place, size, position and parity bitmap.
 
     A frequent word's records go to all pairs of tiles that their tile is in;
@@ -211,13 +214,7 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int, only
                     tile = mix(word[copies] ^ mix((np.minimum(own, other) << 32 | np.maximum(own, other)).astype(np.uint64)))
                     flags = np.concatenate([flags[rest], ((own <= other) * _LEFT | (own == other) * _INNER).astype(np.uint8)])
                     line, pos, word = np.concatenate([line[rest], line[copies]]), np.concatenate([pos[rest], pos[copies]]), np.concatenate([word[rest], tile])
-                if only is None:
-                    flags |= _ASKED
-                else:
-                    open_words, open_lines = only.value
-                    ok = passes(open_words, word)
-                    line, pos, word, flags = line[ok], pos[ok], word[ok], flags[ok]
-                    flags |= passes(open_lines, key[line]).astype(np.uint8)
+                flags |= _ASKED
                 if not len(word):
                     continue
                 bucket = (mix(word) % np.uint64(buckets)).astype(np.int64)
@@ -235,8 +232,62 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.int64)
 
 
+#: pairs that a step holds before it cuts them to the earliest of each line
+_PAIRS = 1 << 20
+
+
+def _earliest(x: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first ``most`` y of each x, sorted, with their rank."""
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    rank = np.arange(len(x)) - np.repeat(start, np.diff(np.append(start, len(x))))
+    take = rank < most
+    return x[take], y[take], rank[take]
+
+
+def _group_candidates(col: dict[str, np.ndarray], num: int, den: int, most: int):
+    """Candidates of records sorted by word and place: (x, y, rank, whether x has more), indexes into the records."""
+    word, flags = col["word"], col["flags"]
+    group = np.cumsum(np.concatenate([[True], word[1:] != word[:-1]])) - 1
+    n, pos, asked = col["n"].astype(np.int64), col["pos"].astype(np.int64), flags & _ASKED > 0
+    p, p2 = col["parity"], col["parity2"]
+    xs, ys, held = [], [], 0
+    for y, x in group_pairs(group, flags & _LEFT > 0, flags & _INNER > 0):
+        x, y = np.maximum(x, y), np.minimum(x, y)      # y is earlier
+        total = n[x] + n[y]
+        need = least_overlap(total, num, den)
+        ok = np.flatnonzero(asked[x] & (pos[x] + need <= n[x]) & (pos[y] + need <= n[y]))
+        x, y = x[ok], y[ok]
+        ok = _popcount(p[x] ^ p[y]) + _popcount(p2[x] ^ p2[y]) <= total[ok] - 2 * need[ok]
+        xs.append(x[ok])
+        ys.append(y[ok])
+        held += len(xs[-1])
+        if held > _PAIRS:
+            x, y, _ = _earliest(np.concatenate(xs), np.concatenate(ys), most + 1)
+            xs, ys, held = [x], [y], 0
+    x, y, rank = _earliest(np.concatenate([*xs, np.zeros(0, np.int64)]), np.concatenate([*ys, np.zeros(0, np.int64)]), most + 1)
+    full = np.zeros(len(word), bool)
+    full[x[rank == most]] = True
+    keep = rank < most
+    return x[keep], y[keep], rank[keep], full[x[keep]]
+
+
+_CANDIDATES = "x long, y long, more boolean, word long, rank long, block binary"
+
+
+def _pairs_batch(col, x, y, rank, more) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(col["k"][x].view(np.int64)), pa.array(col["k"][y].view(np.int64)), pa.array(more), pa.array(col["word"][x].view(np.int64)),
+        pa.array(rank), pa.nulls(len(x), pa.binary())], names=["x", "y", "more", "word", "rank", "block"])
+
+
 def _candidates(num: int, den: int, most: int):
-    """Of each line the ``most`` earliest candidates of its group, and whether there are more."""
+    """Of each line the ``most`` earliest candidates of its group, and whether there are more.
+
+    Where a line has more, its group's records follow (a block) with the sets in
+    it (x without y), so that a later round needs no text.
+    """
     def run(batches):
         for table in whole_groups(batches, ["bucket"], rows=1 << 30, size=4 << 20):
             col = unpack(table.column("block").to_pylist())
@@ -246,55 +297,80 @@ def _candidates(num: int, den: int, most: int):
             pair = mix(col["word"] ^ mix(col["k"]))
             first = np.sort(np.unique(pair, return_index=True)[1])
             col = {c: v[first] for c, v in col.items()}
-            word, k, flags = col["word"], col["k"], col["flags"]
-            group = np.cumsum(np.concatenate([[True], word[1:] != word[:-1]])) - 1
-            n, pos, asked = col["n"].astype(np.int64), col["pos"].astype(np.int64), flags & _ASKED > 0
-            p, p2 = col["parity"], col["parity2"]
-            got = []
-            for y, x in group_pairs(group, flags & _LEFT > 0, flags & _INNER > 0):
-                x, y = np.maximum(x, y), np.minimum(x, y)      # y is earlier
-                total = n[x] + n[y]
-                need = least_overlap(total, num, den)
-                ok = np.flatnonzero(asked[x] & (pos[x] + need <= n[x]) & (pos[y] + need <= n[y]))
-                x, y = x[ok], y[ok]
-                ok = _popcount(p[x] ^ p[y]) + _popcount(p2[x] ^ p2[y]) <= total[ok] - 2 * need[ok]
-                got.append((x[ok], y[ok]))
-            x = np.concatenate([a for a, _ in got]) if got else np.zeros(0, np.int64)
+            x, y, rank, more = _group_candidates(col, num, den, most)
             if not len(x):
                 continue
-            y = np.concatenate([b for _, b in got])
-            order = np.lexsort((y, x))
-            x, y = x[order], y[order]
-            start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-            size = np.diff(np.append(start, len(x)))
-            rank = np.arange(len(x)) - np.repeat(start, size)
-            take = rank < most
-            more = np.repeat(size > most, size)[take]
-            x, y, rank = x[take], y[take], rank[take]
-            yield pa.RecordBatch.from_arrays([pa.array(k[x].view(np.int64)), pa.array(k[y].view(np.int64)), pa.array(more),
-                                              pa.array(word[x].view(np.int64)), pa.array(rank)],
-                                             names=["x", "y", "more", "word", "rank"])
+            yield _pairs_batch(col, x, y, rank, more)
+            words = np.unique(col["word"][x[more]])
+            if not len(words):
+                continue
+            member = np.flatnonzero(np.isin(col["word"], words))
+            cut = np.flatnonzero(np.concatenate([[True], col["word"][member][1:] != col["word"][member][:-1]]))
+            blocks = [pack({c: v[member[a:b]] for c, v in col.items()}) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(member)])]
+            sets = np.unique(col["k"][member])
+            m, none = len(blocks), len(sets)
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(sets.view(np.int64))]), pa.nulls(m + none, pa.int64()), pa.nulls(m + none, pa.bool_()),
+                pa.concat_arrays([pa.array(words.view(np.int64)), pa.nulls(none, pa.int64())]), pa.nulls(m + none, pa.int64()),
+                pa.concat_arrays([pa.array(blocks, pa.binary()), pa.nulls(none, pa.binary())])],
+                names=["x", "y", "more", "word", "rank", "block"])
     return run
 
 
-def _wanted_sets(documents, bits, min_words: int):
-    """Words of the lines whose set key may be wanted, once for each chunk, from the documents that have them first."""
+def _candidates_again(num: int, den: int, most: int):
+    """As ``_candidates``, for the lines (xs) of one group's block that are still open."""
     def run(batches):
         for batch in batches:
-            batch = batch.take(pa.array(np.flatnonzero(passes(documents.value, batch.column(0).to_numpy()))))
-            data, off = column_bytes(batch.column(1))
-            for _, _, part, po in chunks(data, off):
-                wh, _, bounds, key, _, _ = line_sets(part, po, None, min_words)
+            for k in range(batch.num_rows):
+                block, xs = batch.column(1)[k].as_py(), batch.column(2)[k].values.to_numpy()
+                col = unpack([block])
+                col["flags"] = np.where(np.isin(col["k"], xs.view(np.uint64)), col["flags"], col["flags"] & (_LEFT | _INNER))
+                x, y, rank, more = _group_candidates(col, num, den, most)
+                if len(x):
+                    yield _pairs_batch(col, x, y, rank, more)
+    return run
+
+
+def _place(th: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return mix(th.view(np.uint64) ^ mix(line.astype(np.uint64) + np.uint64(1)))
+
+
+def _with_place(batches):
+    """k and th with a hash of the place (document and line)."""
+    for batch in batches:
+        place = _place(batch.column(1).to_numpy(), batch.column(2).to_numpy())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(place.view(np.int64))], names=["k", "th", "place"])
+
+
+def _wanted_sets(filters, min_words: int):
+    """Words of the lines that may be wanted: first in their document and line, of a wanted set key; once for each chunk."""
+    def run(batches):
+        documents, places, keys = filters.value
+        for batch in batches:
+            th = batch.column(0).to_numpy()
+            rows = np.flatnonzero(passes(documents, th))
+            th, (data, off) = th[rows], column_bytes(batch.column(1).take(pa.array(rows)))
+            for i, j, part, po in chunks(data, off):
+                breaks = np.flatnonzero(part == 10) + 1
+                heads = np.sort(np.concatenate([po[:-1], breaks]), kind="stable")
+                ends = np.append(heads[1:], len(part))
+                owner_first = np.searchsorted(breaks, po, "right")[:-1] + np.arange(j - i)
+                owner = np.repeat(np.arange(j - i), np.diff(np.append(owner_first, len(heads))))
+                some = np.flatnonzero(passes(places, _place(th[i + owner], np.arange(len(heads)) - owner_first[owner])))
+                size = ends[some] - heads[some]
+                lines, at = part[ragged(heads[some], size)], np.concatenate([[0], np.cumsum(size)])
+                lines = np.where(lines == 10, np.uint8(32), lines)       # its own end
+                wh, _, bounds, key, _, _ = line_sets(lines, at, None, min_words)
                 if not len(key):
                     continue
-                at = np.unique(key, return_index=True)[1]
-                at = at[passes(bits.value, key[at])]
-                n = np.diff(bounds)[at]
-                if len(at):
-                    flat = wh[np.repeat(bounds[:-1][at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+                one = np.unique(key, return_index=True)[1]
+                one = one[passes(keys, key[one])]
+                n = np.diff(bounds)[one]
+                if len(one):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(key[at].view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat.view(np.int64)))],
+                        pa.array(key[one].view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()),
+                                                 pa.array(wh[ragged(bounds[:-1][one], n)].view(np.int64)))],
                         names=["k", "words"])
     return run
 
@@ -308,8 +384,11 @@ def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5),
-                min_words: int = 5, most: int = 16) -> DataFrame:
-    """id, th (hash of the text) and ``removed`` (sorted line numbers from 0) of the documents that lose lines."""
+                min_words: int = 1, most: int = 16) -> DataFrame:
+    """id, th (hash of the text) and ``removed`` (sorted line numbers from 0) of the documents that lose lines.
+
+    Nulls, ties, repeated rows and empty tables: see ``line_report``.
+    """
     spark = df.sparkSession
     prepare(spark)
     num, den = threshold
@@ -322,7 +401,9 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
                         "lines")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "th")
     firsts = materialize(lines.groupBy("k").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("many")), "line-sets")
-    hot = materialize(lines.select(F.explode("hot").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("many"))
+    # sets, not lines, count: a line that stands a million times is one member of its words' groups
+    sets_once = lines.where(F.size("hot") > 0).select("k", "hot").dropDuplicates(["k"])
+    hot = materialize(sets_once.select(F.explode("hot").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("many"))
                       .where(F.col("many") > TILE), "line-frequent-words")
 
     tile = TILE
@@ -333,28 +414,31 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     order = np.argsort(words)
     frequent = spark.sparkContext.broadcast((words[order], -(-often.many.to_numpy(np.int64) // tile)[order]))
 
-    resolved, only, buckets = None, None, 4 * parts
+    blocks = source.mapInArrow(_prefixes(ranks, frequent, joining, num, den, 4 * parts), "bucket int, block binary")
+    found = materialize(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
+                        .mapInArrow(_candidates(num, den, most), _CANDIDATES), "line-pairs")
+    del blocks
+    release(spark)
+    pairs, groups = found.where("y IS NOT NULL"), found.where("block IS NOT NULL").select("word", "block")
+    keys = found.where("x IS NOT NULL").select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct()
+    keys = keys.join(firsts, "k").select("k", F.col("first.th").alias("th"), F.col("first.line").alias("line"))
+    keys = materialize(keys.mapInArrow(_with_place, "k long, th long, place long"), "line-wanted")
+    filters = spark.sparkContext.broadcast(tuple(bit_filter(keys, c) for c in ("th", "place", "k")))
+    sets = materialize(source.select("th", "text").mapInArrow(_wanted_sets(filters, joining), "k long, words array<long>")
+                       .groupBy("k").agg(F.any_value("words").alias("words")), "line-words")
+    resolved = None
     while True:
-        blocks = source.mapInArrow(_prefixes(ranks, frequent, joining, num, den, buckets, only), "bucket int, block binary")
-        pairs = materialize(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
-                            .mapInArrow(_candidates(num, den, most), "x long, y long, more boolean, word long, rank long"), "line-pairs")
-        del blocks
-        release(spark)
-        keys = pairs.select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct()
-        keys = materialize(keys.join(firsts, "k").select("k", F.col("first.th").alias("th")), "line-wanted")
-        bits, docs = (spark.sparkContext.broadcast(bit_filter(keys, c)) for c in ("k", "th"))
-        sets = materialize(source.select("th", "text").mapInArrow(_wanted_sets(docs, bits, joining), "k long, words array<long>")
-                           .groupBy("k").agg(F.any_value("words").alias("words")), "line-words")
         # most lines match one of their two earliest candidates; only the others' pairs are looked at further
-        found = materialize(_similar(pairs.where("rank < 2"), sets, num, den), "line-matches")
-        rest = _similar(pairs.where("rank >= 2").join(found, "x", "left_anti"), sets, num, den)
-        found = materialize(found.unionByName(rest), "line-matches-all")
-        resolved = found if resolved is None else resolved.unionByName(found).distinct()
-        left = materialize(pairs.where("more").select("x", "word").distinct().join(found, "x", "left_anti"), "line-open")
+        matched = materialize(_similar(pairs.where("rank < 2"), sets, num, den), "line-matches")
+        rest = _similar(pairs.where("rank >= 2").join(matched, "x", "left_anti"), sets, num, den)
+        matched = materialize(matched.unionByName(rest), "line-matches-all")
+        resolved = matched if resolved is None else resolved.unionByName(matched).distinct()
+        left = materialize(pairs.where("more").select("x", "word").distinct().join(matched, "x", "left_anti"), "line-open")
         if left.isEmpty():
             break
-        only = spark.sparkContext.broadcast((bit_filter(left, "word"), bit_filter(left, "x")))
         most *= 16
+        again = groups.join(left.groupBy("word").agg(F.collect_set("x").alias("xs")), "word").select("word", "block", "xs")
+        pairs = materialize(again.mapInArrow(_candidates_again(num, den, most), _CANDIDATES).drop("block"), "line-pairs-again")
 
     copies = (lines.join(firsts.where("many > 1"), "k").where(~place.eqNullSafe(F.col("first"))).select("id", "th", "line"))
     similar = (firsts.join(resolved.withColumnRenamed("x", "k"), "k", "left_semi")
@@ -368,7 +452,7 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
     Lines end at ``\\n``; words are separated by ASCII white space. Lines of
     fewer than ``min_words`` (1 or more) distinct words are not judged and stay:
-    blank lines always, with the default also headings. A null or empty text has one empty line. Rows that repeat
+    with the default blank lines alone. A null or empty text has one empty line. Rows that repeat
     both id and text are one document; null ids come last in corpus order; of
     lines at the same place (an id with two texts) order is by a hash. Other
     columns are not read; an empty table gives no rows.
