@@ -157,11 +157,11 @@ def test_decontamination(spark, docs, empty):
     bench = spark.createDataFrame([(1, item), (2, other), (3, "tiny one"), (4, None), (None, BASE), (5, "one two three four five six")],
                                   "item_id long, text string")
     more = docs.unionByName(spark.createDataFrame(
-        [(50, "Before, " + " ".join(words).upper() + "! after", "en", "a", 1, 2, 3, "x"), (51, "so One two THREE four, five six.", "en", "a", 1, 2, 3, "x"),
+        [(53, "a Tiny  ONE here", "en", "a", 1, 2, 3, "x"), (54, "one two three four", "en", "a", 1, 2, 3, "x"), (50, "Before, " + " ".join(words).upper() + "! after", "en", "a", 1, 2, 3, "x"), (51, "so One two THREE four, five six.", "en", "a", 1, 2, 3, "x"),
          (52, "one two three four five 6", "en", "a", 1, 2, 3, "x")], docs.schema))
     got = {r.doc_id: (r.contaminated, r.item_ids) for r in decontam.contamination_report(more, bench).collect()}
-    assert {i for i, (c, _) in got.items() if c} == {10, 11, 50, 51}
-    assert got[10][1] == [1] and got[50][1] == [2] and got[51][1] == [5]
+    assert {i for i, (c, _) in got.items() if c} == {10, 11, 50, 51, 52, 53}
+    assert got[10][1] == [1] and got[50][1] == [2] and got[51][1] == [5] and got[53][1] == [3] and got[52][1] == [5]
     assert decontam.contamination_report(empty, bench).count() == 0
     assert decontam.contamination_report(docs, bench.where("false")).where("contaminated").count() == 0
 
@@ -375,3 +375,87 @@ def test_suffix_dedup_bounds_the_group_of_an_anchor(spark, monkeypatch):
     (bodies, (cold, hot)), = splits
     assert hot is not None and cold.count() + hot.count() == bodies.count() and cold.count() > 0
     assert all(r.n <= 8000 for r in cold.groupBy("anchor").agg(F.sum(F.length("body")).alias("n")).collect())
+
+
+def _brute_lines(docs, least=(1, 5)):
+    """What the pipeline's line stage keeps: (id -> text), in corpus order."""
+    seen, out = [], {}
+    for i, text in sorted(docs.items()):
+        left = []
+        lines = text.split("\n")
+        for line in lines:
+            words = frozenset(w for w in _SPACE.split(line) if w)
+            if not words or not any(5 * len(words & v) >= 4 * len(words | v) for v in seen):
+                left.append(line)
+            seen.append(words)
+        count = [len([w for w in _SPACE.split(t) if w]) for t in ("\n".join(left), text)]
+        if len(left) == len(lines) or (count[0] and count[0] * least[1] >= least[0] * count[1]):
+            out[i] = "\n".join(left)
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rnd = random.Random(12)
+    item = _passage(900, 30)
+    docs = {k: "\n".join(_passage(1000 + 40 * k + n, rnd.randint(6, 14)) for n in range(20)) for k in range(12)}
+    for k in range(6):                                       # near copies: two lines of twenty rewritten in each
+        lines = docs[0].split("\n")
+        for n in rnd.sample(range(20), 2):
+            lines[n] = _passage(5000 + 10 * k + n, 9)
+        docs[20 + k] = "\n".join(lines)
+    docs[30] = docs[3]                                       # exact copies, one with a line more
+    docs[31] = docs[4] + "\nan own last line of some words"
+    docs[32] = _passage(950, 40)                             # near copies on one long line: 0.8 on words, so the line stage has them
+    docs[33] = _near(docs[32], 3)
+    long = _passage(960, 300).split(" ")                     # near copies by shingles whose lines differ everywhere: for the join
+    docs[34] = "\n".join(" ".join(long[n:n + 7]) for n in range(0, 300, 7))
+    docs[35] = "\n".join(" ".join(long[n:n + 11]) for n in range(0, 300, 11))
+    words = item.split(" ")
+    words[9] = "edited"
+    docs[40] = docs[5].split("\n")[0][:3] + _passage(970, 30) + "\n" + " ".join(words) + "\n" + _passage(971, 30)
+    docs[41] = _passage(972, 30) + " " + " ".join(item.split(" ")[:8]) + " " + _passage(973, 30)      # too little of the item
+    rows = [(i, t, "en", "a", len(t)) for i, t in docs.items()]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    lines = _brute_lines(docs)
+    assert set(docs) - set(lines) == {*range(20, 26), 30, 31, 33}
+    left, sets = {}, {}
+    for i, t in sorted(lines.items()):                       # classes of near copies are single links here
+        sets[i] = _shingles(t)
+        if not any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in left):
+            left[i] = t
+    assert set(lines) - set(left) == {35}
+    want = set(left) - {40}
+    got = {r.doc_id: r for r in P.run(spark, str(tmp_path)).collect()}
+    assert set(got) == want
+    ref = _reference()
+    assert all(list(got[i].ids) == ref.encode(left[i], add_special_tokens=False).ids for i in want)
+    (tmp_path / "none").mkdir()
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert P.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_components_end_only_when_nothing_changes(spark):
+    from tidewater.llm.common import components
+
+    chain = spark.createDataFrame([(k, k + 1) for k in range(1, 300)] + [(1000, 2000)], "u long, v long")
+    got = {r.node: r.root for r in components(chain, "chain").collect()}
+    assert got == {**{k: 1 for k in range(1, 301)}, 1000: 1000, 2000: 1000}
+    with pytest.raises(RuntimeError, match="did not settle"):
+        components(chain, "chain", most_rounds=2)
+
+
+@pytest.mark.parametrize("size", range(1, 13))
+def test_short_items_are_found_with_their_substitutions(size):
+    import itertools
+
+    item = [f"w{k}" for k in range(size)]
+    block = decontam.Block([7], [" ".join(item)], 1)
+    for changed in itertools.combinations(range(size), decontam.substitutions(size, 0.8)):
+        raw = " ".join(["so", *[f"x{k}" if k in changed else w for k, w in enumerate(item)], "end"]).encode()
+        wh, first = decontam.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert block.hits(wh, first, 13, 0.8).get(0, {}).get(0) == (size, size - len(changed)), changed

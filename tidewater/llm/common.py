@@ -145,16 +145,51 @@ def runs(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-def span_hash(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each non-empty byte span."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+#: bytes over which running sums of hashes go before their weights start anew
+_RUN = 1 << 20
+_INVERSE = np.uint64(pow(int(_MULT), -1, 1 << 64))
+_RUN_WEIGHTS: list[np.ndarray] = []
+
+
+def _run_weights() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, one for each byte of a run."""
+    if not _RUN_WEIGHTS:
+        back = np.full(_RUN, _INVERSE, np.uint64)
+        back[0] = 1
+        _RUN_WEIGHTS.extend([powers(_RUN)[:_RUN], np.cumprod(back, dtype=np.uint64)])
+    return _RUN_WEIGHTS[0], _RUN_WEIGHTS[1]
+
+
+def _gathered_sums(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     first = np.cumsum(lens) - lens
     pos = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(first, lens)
     vals = data[np.repeat(starts, lens) + pos].astype(np.uint64)
     vals += np.uint64(1)
     vals *= powers(int(lens.max()))[pos]
-    return mix(np.add.reduceat(vals, first) + lens.astype(np.uint64) * _MULT)
+    return np.add.reduceat(vals, first)
+
+
+def span_hash(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each non-empty byte span: a polynomial of its bytes, from differences of a running sum where spans are dense."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    if 4 * int(lens.sum()) < len(data):
+        sums = _gathered_sums(data, starts, lens)
+    else:
+        forward, back = _run_weights()
+        running = np.zeros(len(data) + 1, np.uint64)
+        for a in range(0, len(data), _RUN):
+            part = data[a:a + _RUN].astype(np.uint64)
+            part += np.uint64(1)
+            part *= forward[:len(part)]
+            np.cumsum(part, out=running[a + 1:a + 1 + len(part)])
+            if a:
+                running[a + 1:a + 1 + len(part)] += running[a]
+        sums = (running[starts + lens] - running[starts]) * back[starts % _RUN]
+        across = np.flatnonzero(starts // _RUN != (starts + lens - 1) // _RUN)
+        if len(across):                            # spans over the border of two runs: weights differ there
+            sums[across] = _gathered_sums(data, starts[across], lens[across])
+    return mix(sums + lens.astype(np.uint64) * _MULT)
 
 
 #: bytes that separate words: ASCII white space
@@ -175,14 +210,6 @@ def word_spans(data: np.ndarray, off: np.ndarray, separators: np.ndarray = SPACE
     return starts, ends - starts, np.searchsorted(starts, off)
 
 
-def doc_hash(data: np.ndarray, off: np.ndarray) -> list[bytes]:
-    """A 128-bit digest of each document's bytes."""
-    import hashlib
-
-    view = memoryview(np.ascontiguousarray(data))
-    return [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-
-
 # -- groups in sorted partitions, components, fixed-size filters ------------------
 
 
@@ -237,27 +264,27 @@ def smallest_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, most_rounds: int = 200) -> DataFrame:
     """node and root (the smallest node of its component) for the long columns u, v; nodes without an edge are left out.
 
     Large-star and small-star rounds (Kiveris et al. 2014): a round needs a
     minimum by node, with map-side combine, and one join; rounds grow with the
-    logarithm of the number of nodes. Nothing is gathered on the driver.
+    logarithm of the number of nodes. They end when a round changes no edge;
+    beyond ``most_rounds`` it raises. Nothing is gathered on the driver.
     """
     edges = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
-    state = None
-    for k in range(100):
+    for k in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.withColumnRenamed("m", "v")).where("u <> v").distinct())
-        edges = materialize(small, f"{name}-{k}")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-        if now == state:
+        before, edges = edges, materialize(small, f"{name}-{k}")
+        if edges.count() == before.count() and edges.join(before, ["u", "v"], "left_anti").isEmpty():
             break
-        state = now
+    else:
+        raise RuntimeError(f"components of {name} did not settle in {most_rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

@@ -32,7 +32,7 @@ MASKS = ("111011011001", "110100110111", "101110010111", "111100101011", "111011
          "1011001100011", "1111100000101")
 #: the masks hold a seed of every stretch from this length and share of equal tokens on
 COVERED, COVERED_IDENTITY = 13, 0.8
-#: shorter items must be found whole, without a substitution
+#: shorter items must be found whole
 SPAN = 12
 #: seeds of a block: 8 + 8 bytes each are broadcast
 BLOCK_SEEDS = 1 << 20
@@ -79,7 +79,7 @@ def stretch_masks(least: int, identity: float) -> tuple[str, ...]:
 
 def whole_masks(size: int, identity: float) -> tuple[str, ...]:
     """Masks for items of ``size`` tokens that must be found whole: of two blocks more than substitutions, two are equal."""
-    if size < SPAN:
+    if not substitutions(size, identity):                  # four tokens or fewer at 0.8: the whole run
         return ("1" * size,)
     if size >= COVERED and identity >= COVERED_IDENTITY:
         return MASKS
@@ -161,7 +161,7 @@ class Block:
         return best
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", min_tokens: int = 5,
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", min_tokens: int = 1,
            block_seeds: int = BLOCK_SEEDS, min_overlap: int = 13, identity: float = 0.8) -> list[Block]:
     """The benchmark in blocks; how many follows from its size, and each is bounded."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).where("id IS NOT NULL")
@@ -176,14 +176,15 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 
 def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", min_overlap: int = 13,
-                  identity: float = 0.8, min_tokens: int = 5, out_col: str = "contamination") -> DataFrame:
+                  identity: float = 0.8, min_tokens: int = 1, out_col: str = "contamination") -> DataFrame:
     """``df`` with an array of the benchmark items that each text overlaps.
 
     An item counts where a stretch of at least ``min_overlap`` tokens (the whole
     item if it is shorter) has ``identity`` or more equal tokens side by side.
-    Items of fewer than twelve tokens must be found whole; items
-    of fewer than ``min_tokens`` tokens say nothing and are left out, as are
-    items with a null id. A null or empty text overlaps nothing (empty array);
+    Items of fewer tokens than that must be found whole, with as many substitutions
+    as ``identity`` allows (none below five tokens at 0.8), through masks of their
+    own length. Items without a token or with a null id say nothing and are left out
+    (with ``min_tokens``, shorter ones too). A null or empty text overlaps nothing (empty array);
     repeated rows and ties are answered alike; an empty table stays empty. A
     column called ``out_col`` is replaced.
     """

@@ -57,9 +57,18 @@ def slot(wh: np.ndarray) -> np.ndarray:
     return (wh >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
 
+#: slots of the table that travel together
+_SLOTS = 1 << 16
+
+
 def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Per slot a rank by word count: 0 for a count of at most one, then four ranks to each doubling."""
-    prepare(df.sparkSession)
+    """Per slot a rank by word count: 0 for a count of at most one, then four ranks to each doubling.
+
+    A task sends its own counts once, by ranges of slots (place and count of
+    those in use); each range is summed and ranked in one task.
+    """
+    spark = df.sparkSession
+    prepare(spark)
 
     def count(batches):
         table = np.zeros(1 << RARITY_BITS, np.int64)
@@ -68,17 +77,40 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
             for _, _, part, po in chunks(data, off):
                 starts, lens, _ = word_spans(part, po)
                 np.add.at(table, slot(span_hash(part, starts, lens)), 1)
-        at = np.flatnonzero(table)
-        for a in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + (1 << 16)], pa.int32()), pa.array(table[at[a:a + (1 << 16)]])],
-                                             names=["slot", "n"])
-
-    counts = (df.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "slot int, n long")
-              .groupBy("slot").agg(F.sum("n").alias("n")))
-    ranks = counts.where("n > 1").select("slot", F.least(F.lit(254), 1 + F.floor(4 * F.log2("n"))).cast("int").alias("rank"))
-    got = ranks.toArrow()
+        for k in range(len(table) // _SLOTS):
+            part = table[k * _SLOTS:(k + 1) * _SLOTS]
+            at = np.flatnonzero(part)
+            if len(at):
+                wide = part[at].max() >= 1 << 32
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([at.astype("<u2").tobytes()], pa.binary()),
+                                                  pa.array([part[at].astype("<u8" if wide else "<u4").tobytes()], pa.binary())], names=["part", "at", "n"])
+
+    def rank(batches):
+        part, total = None, np.zeros(_SLOTS, np.int64)
+
+        def done():
+            ranks = np.zeros(_SLOTS, np.uint8)
+            many = total > 1
+            ranks[many] = np.minimum(254, 1 + np.floor(4 * np.log2(total[many])))
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([ranks.tobytes()], pa.binary())], names=["part", "ranks"])
+
+        for batch in batches:
+            for k, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != part:
+                    if part is not None:
+                        yield done()
+                    part, total = k, np.zeros(_SLOTS, np.int64)
+                at = np.frombuffer(at, "<u2")
+                total[at] += np.frombuffer(n, "<u4" if len(n) == 4 * len(at) else "<u8").astype(np.int64)
+        if part is not None:
+            yield done()
+
+    counts = df.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "part int, at binary, n binary")
+    ranks = (counts.repartition(min(shuffle_partitions(spark), (1 << RARITY_BITS) // _SLOTS), "part").sortWithinPartitions("part")
+             .mapInArrow(rank, "part int, ranks binary"))
     out = np.zeros(1 << RARITY_BITS, np.uint8)
-    out[got.column("slot").to_numpy()] = got.column("rank").to_numpy().astype(np.uint8)
+    for part, some in ranks.toLocalIterator():
+        out[part * _SLOTS:(part + 1) * _SLOTS] = np.frombuffer(some, np.uint8)
     return out
 
 
@@ -282,6 +314,25 @@ def _pairs_batch(col, x, y, rank, more) -> pa.RecordBatch:
         pa.array(rank), pa.nulls(len(x), pa.binary())], names=["x", "y", "more", "word", "rank", "block"])
 
 
+def _by_word_and_place(col: dict[str, np.ndarray]) -> np.ndarray:
+    """Order by word, then id, line and set key."""
+    n, place = len(col["word"]), None
+    if n and col["id"].min() >= 0 and col["id"].max() < 1 << 42 and col["line"].max() < 1 << 21:
+        place = col["id"] << 21 | col["line"].astype(np.int64)       # one number: sorted alone, unless a place holds two sets
+        by_place = np.argsort(place)
+        same = place[by_place][1:] == place[by_place][:-1]
+        if (same & (col["k"][by_place][1:] != col["k"][by_place][:-1])).any():
+            place = None
+    if place is None:
+        by_place = np.lexsort((col["k"], col["line"], col["id"]))
+    rank = np.empty(n, np.int64)
+    rank[by_place] = np.arange(n)
+    by_word = np.argsort(col["word"])
+    group = np.empty(n, np.int64)
+    group[by_word] = np.cumsum(np.concatenate([[False], col["word"][by_word][1:] != col["word"][by_word][:-1]]))[:n]
+    return np.argsort(group << 32 | rank)
+
+
 def _candidates(num: int, den: int, most: int):
     """Of each line the ``most`` earliest candidates of its group, and whether there are more.
 
@@ -291,12 +342,12 @@ def _candidates(num: int, den: int, most: int):
     def run(batches):
         for table in whole_groups(batches, ["bucket"], rows=1 << 30, size=4 << 20):
             col = unpack(table.column("block").to_pylist())
-            # equal sets from several tasks: the earliest place stands for all; groups in order, lines in corpus order
-            order = np.lexsort((col["k"], col["line"], col["id"], col["word"]))
+            # groups in order, lines in corpus order; of equal sets from several tasks the earliest place stands for all
+            order = _by_word_and_place(col)
             col = {c: v[order] for c, v in col.items()}
-            pair = mix(col["word"] ^ mix(col["k"]))
-            first = np.sort(np.unique(pair, return_index=True)[1])
-            col = {c: v[first] for c, v in col.items()}
+            first = np.sort(np.unique(mix(col["word"] ^ mix(col["k"])), return_index=True)[1])
+            if len(first) < len(order):
+                col = {c: v[first] for c, v in col.items()}
             x, y, rank, more = _group_candidates(col, num, den, most)
             if not len(x):
                 continue
@@ -458,19 +509,23 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     columns are not read; an empty table gives no rows.
     """
     text = text_or_empty(text_col)
+    breaks = F.octet_length(text) - F.octet_length(F.translate(text, "\n", ""))
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"),
-                     (F.size(F.split(text, "\n", -1))).cast("long").alias("n_lines")).dropDuplicates(["id", "th"])
+                     (breaks + 1).cast("long").alias("n_lines")).dropDuplicates(["id", "th"])
     gone = materialize(later_lines(df, id_col, text_col, **options), "line-removals").withColumnsRenamed({"id": "gone_id", "th": "gone_th"})
     got = docs.join(gone, docs["th"].eqNullSafe(gone["gone_th"]) & docs["id"].eqNullSafe(gone["gone_id"]), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return got.select(F.col("id").alias(id_col), "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_left: tuple[int, int] = (0, 1), **options) -> DataFrame:
     """``df`` without its later lines (see ``line_report``).
 
-    A document that had words and keeps none is left out; rows that repeat id
-    and text become one row. Other columns stay as they are.
+    A document that had words and keeps none is left out, and so is one that
+    loses lines and keeps less than the share ``least_left`` (numerator,
+    denominator) of its words: what is left of a near copy is no document. Its
+    own lines go with it, also where a later document repeats them. Rows that
+    repeat id and text become one row. Other columns stay as they are.
     """
     gone = materialize(later_lines(df, id_col, text_col, **options), "line-removals")
     gone = gone.select(F.col("id").alias("__tw_id"), F.col("th").alias("__tw_th"), F.col("removed").alias("__tw_gone"))
@@ -480,5 +535,8 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     docs = docs.join(gone, F.col("__tw_hash").eqNullSafe(F.col("__tw_th")) & F.col("__tw_key").eqNullSafe(F.col("__tw_id")), "left")
     kept = F.concat_ws("\n", F.filter(F.split(text_or_empty(text_col), "\n", -1), lambda _, i: ~F.array_contains("__tw_gone", i)))
     docs = docs.withColumn("__tw_text", F.when(F.col("__tw_gone").isNull(), F.col(text_col)).otherwise(kept))
-    docs = docs.where(F.col("__tw_gone").isNull() | F.col("__tw_text").rlike(r"\S"))
+    words = [F.regexp_count(F.col(c), F.lit(r"[^\x20\x09-\x0D]+")) for c in ("__tw_text", text_col)]
+    num, den = least_left
+    enough = F.col("__tw_text").rlike(r"\S") & (den * words[0] >= num * words[1])
+    docs = docs.where(F.col("__tw_gone").isNull() | enough)
     return docs.select(*[F.col("__tw_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
