@@ -38,7 +38,11 @@ from .ngram_join import group_pairs
 RARITY_BITS = 22
 #: lines of a word's group that one tile holds
 TILE = 1024
+#: bytes of text that one step works on: its temporaries stay in the cores' caches
+STEP = 1 << 18
 _NO_ID = (1 << 63) - 1
+#: line number of the row that stands for a whole document
+DOCUMENT = -1
 
 
 def line_words(data: np.ndarray, off: np.ndarray):
@@ -74,7 +78,7 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
         table = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             data, off = column_bytes(batch.column(0))
-            for _, _, part, po in chunks(data, off):
+            for _, _, part, po in chunks(data, off, STEP):
                 starts, lens, _ = word_spans(part, po)
                 np.add.at(table, slot(span_hash(part, starts, lens)), 1)
         for k in range(len(table) // _SLOTS):
@@ -115,8 +119,9 @@ def rarity(df: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def line_sets(data: np.ndarray, off: np.ndarray, ranks: np.ndarray | None, min_words: int):
-    """Distinct words of the lines that are judged: (line, words rarest first, bounds, set key, number, document)."""
+    """Distinct words of the lines that are judged: (words rarest first, their order, bounds, set key, number, document, words with repeats, words of each document)."""
     wh, line, number, owner_first = line_words(data, off)
+    words = np.bincount(line, minlength=len(number)) if len(line) else np.zeros(len(number), np.int64)
     rank = np.zeros(len(wh), np.uint64) if ranks is None else ranks[slot(wh)].astype(np.uint64)
     order_key = rank << np.uint64(56) | wh >> np.uint64(8)
     order = None
@@ -139,7 +144,7 @@ def line_sets(data: np.ndarray, off: np.ndarray, ranks: np.ndarray | None, min_w
     bounds = np.concatenate([[0], np.cumsum(size[lines])])
     key = mix(np.add.reduceat(mix(wh), bounds[:-1])) if len(lines) else np.zeros(0, np.uint64)
     document = np.searchsorted(owner_first, lines, "right") - 1
-    return wh, order_key, bounds, key, number[lines], document
+    return wh, order_key, bounds, key, number[lines], document, words[lines], np.add.reduceat(words, owner_first) if len(words) else words
 
 
 def least_overlap(total: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -164,45 +169,47 @@ def _lines(ranks, min_words: int, joining: int, num: int, den: int):
     def run(batches):
         for batch in batches:
             data, off = column_bytes(batch.column(2))
-            for i, j, part, po in chunks(data, off):
-                wh, order_key, bounds, key, number, document = line_sets(part, po, ranks.value, min_words)
+            for i, j, part, po in chunks(data, off, STEP):
+                wh, order_key, bounds, key, number, document, words, total = line_sets(part, po, ranks.value, min_words)
                 n = np.diff(bounds)
-                if not len(n):
-                    continue
                 once = np.zeros(len(n), bool)
                 once[np.unique(key, return_index=True)[1]] = True
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
                 hot = (pos < np.repeat(prefix_size(n, num, den) * (once & (n >= joining)), n)) & (order_key >> np.uint64(56) >= often)
-                hot_off = np.concatenate([[0], np.cumsum(hot)])[bounds]
-                rows = pa.array(document + i)
+                hot_off = np.concatenate([[0], np.cumsum(hot)])[bounds] if len(n) else np.zeros(1, np.int64)
+                breaks = np.searchsorted(np.flatnonzero(part == 10), po)
+                # a row of each document: its number of lines and its words
+                rows = pa.array(np.concatenate([document, np.arange(j - i)]) + i)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number, pa.int32()), pa.array(key.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(hot_off, pa.int32()), pa.array(order_key[hot].view(np.int64)))],
-                    names=["id", "th", "line", "k", "hot"])
+                    batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate([number, np.full(j - i, DOCUMENT)]), pa.int32()),
+                    pa.array(np.concatenate([key.view(np.int64), np.diff(breaks) + 1])), pa.array(np.concatenate([words, total])),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([hot_off, np.full(j - i, hot_off[-1])]), pa.int32()),
+                                             pa.array(order_key[hot].view(np.int64)))],
+                    names=["id", "th", "line", "k", "words", "hot"])
     return run
 
 
 #: a prefix word's record in the packed blocks that are shuffled, field by field
 _RECORD = (("word", "<u8"), ("k", "<u8"), ("id", "<i8"), ("parity", "<u8"), ("parity2", "<u8"), ("line", "<u4"), ("n", "<u4"),
            ("pos", "<u4"), ("flags", "<u1"))
-_WIDTH = sum(np.dtype(t).itemsize for _, t in _RECORD)
+_PACKED = np.dtype(list(_RECORD))
 _ASKED, _LEFT, _INNER = 1, 2, 4
 #: frequent words that are broadcast with their number of tiles
 _HOT_WORDS = 100_000
 
 
-def pack(cols: dict[str, np.ndarray]) -> bytes:
-    return b"".join(cols[name].astype(kind).tobytes() for name, kind in _RECORD)
+def pack(cols: dict[str, np.ndarray], cuts: list[int]) -> list[bytes]:
+    """Records from each cut to the next as bytes."""
+    out = np.empty(cuts[-1], _PACKED)
+    for name, _ in _RECORD:
+        out[name] = cols[name]
+    raw, width = out.tobytes(), _PACKED.itemsize
+    return [raw[a * width:b * width] for a, b in zip(cuts, cuts[1:])]
 
 
 def unpack(blobs: list[bytes]) -> dict[str, np.ndarray]:
-    parts: dict[str, list] = {name: [] for name, _ in _RECORD}
-    for blob in blobs:
-        m, at = len(blob) // _WIDTH, 0
-        for name, kind in _RECORD:
-            parts[name].append(np.frombuffer(blob, kind, m, at))
-            at += m * np.dtype(kind).itemsize
-    return {name: np.concatenate(x) for name, x in parts.items()}
+    rows = np.frombuffer(b"".join(blobs), _PACKED)
+    return {name: np.ascontiguousarray(rows[name]) for name, _ in _RECORD}
 
 
 def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
@@ -216,8 +223,8 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
         for batch in batches:
             ids = batch.column(0).fill_null(_NO_ID).to_numpy()
             data, off = column_bytes(batch.column(2))
-            for i, j, part, po in chunks(data, off):
-                wh, order_key, bounds, key, number, document = line_sets(part, po, ranks.value, min_words)
+            for i, j, part, po in chunks(data, off, STEP):
+                wh, order_key, bounds, key, number, document, _, _ = line_sets(part, po, ranks.value, min_words)
                 if not len(key):
                     continue
                 doc_id = ids[i + document]
@@ -255,7 +262,7 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
                 cols = {"word": word[order], "k": key[line], "id": doc_id[line], "parity": parity[line], "parity2": parity2[line],
                         "line": number[line], "n": n[line], "pos": pos[order], "flags": flags[order]}
                 cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                blobs = [pack({c: v[x:y] for c, v in cols.items()}) for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)])]
+                blobs = pack(cols, [*cut.tolist(), len(bucket)])
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "block"])
     return run
 
@@ -357,7 +364,7 @@ def _candidates(num: int, den: int, most: int):
                 continue
             member = np.flatnonzero(np.isin(col["word"], words))
             cut = np.flatnonzero(np.concatenate([[True], col["word"][member][1:] != col["word"][member][:-1]]))
-            blocks = [pack({c: v[member[a:b]] for c, v in col.items()}) for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(member)])]
+            blocks = pack({c: v[member] for c, v in col.items()}, [*cut.tolist(), len(member)])
             sets = np.unique(col["k"][member])
             m, none = len(blocks), len(sets)
             yield pa.RecordBatch.from_arrays([
@@ -401,7 +408,7 @@ def _wanted_sets(filters, min_words: int):
             th = batch.column(0).to_numpy()
             rows = np.flatnonzero(passes(documents, th))
             th, (data, off) = th[rows], column_bytes(batch.column(1).take(pa.array(rows)))
-            for i, j, part, po in chunks(data, off):
+            for i, j, part, po in chunks(data, off, STEP):
                 breaks = np.flatnonzero(part == 10) + 1
                 heads = np.sort(np.concatenate([po[:-1], breaks]), kind="stable")
                 ends = np.append(heads[1:], len(part))
@@ -411,7 +418,7 @@ def _wanted_sets(filters, min_words: int):
                 size = ends[some] - heads[some]
                 lines, at = part[ragged(heads[some], size)], np.concatenate([[0], np.cumsum(size)])
                 lines = np.where(lines == 10, np.uint8(32), lines)       # its own end
-                wh, _, bounds, key, _, _ = line_sets(lines, at, None, min_words)
+                wh, _, bounds, key, *_ = line_sets(lines, at, None, min_words)
                 if not len(key):
                     continue
                 one = np.unique(key, return_index=True)[1]
@@ -435,8 +442,9 @@ def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5),
-                min_words: int = 1, most: int = 16) -> DataFrame:
-    """id, th (hash of the text) and ``removed`` (sorted line numbers from 0) of the documents that lose lines.
+                min_words: int = 1, most: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Documents (id, th: hash of the text, n_lines, words) and, of those that lose lines, id, th, ``removed`` (sorted line
+    numbers from 0) and ``lost`` (words in them).
 
     Nulls, ties, repeated rows and empty tables: see ``line_report``.
     """
@@ -448,9 +456,11 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     text = text_or_empty(text_col)
     source = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     ranks = spark.sparkContext.broadcast(rarity(df, text_col))
-    lines = materialize(source.mapInArrow(_lines(ranks, min_words, joining, num, den), "id long, th long, line int, k long, hot array<long>"),
+    lines = materialize(source.mapInArrow(_lines(ranks, min_words, joining, num, den), "id long, th long, line int, k long, words long, hot array<long>"),
                         "lines")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "th")
+    documents = lines.where(F.col("line") == DOCUMENT).select("id", "th", F.col("k").alias("n_lines"), "words").dropDuplicates(["id", "th"])
+    lines = lines.where(F.col("line") != DOCUMENT)
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "th", "words")
     firsts = materialize(lines.groupBy("k").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("many")), "line-sets")
     # sets, not lines, count: a line that stands a million times is one member of its words' groups
     sets_once = lines.where(F.size("hot") > 0).select("k", "hot").dropDuplicates(["k"])
@@ -491,11 +501,11 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         again = groups.join(left.groupBy("word").agg(F.collect_set("x").alias("xs")), "word").select("word", "block", "xs")
         pairs = materialize(again.mapInArrow(_candidates_again(num, den, most), _CANDIDATES).drop("block"), "line-pairs-again")
 
-    copies = (lines.join(firsts.where("many > 1"), "k").where(~place.eqNullSafe(F.col("first"))).select("id", "th", "line"))
-    similar = (firsts.join(resolved.withColumnRenamed("x", "k"), "k", "left_semi")
-               .select(F.col("first.id").alias("id"), F.col("first.th").alias("th"), F.col("first.line").alias("line")))
-    return (copies.unionByName(similar).groupBy("id", "th")
-            .agg(F.sort_array(F.collect_set("line")).alias("removed")))
+    copies = lines.join(firsts.where("many > 1"), "k").where(~place.eqNullSafe(F.col("first"))).select("id", "th", "line", "words")
+    similar = firsts.join(resolved.withColumnRenamed("x", "k"), "k", "left_semi").select("first.id", "first.th", "first.line", "first.words")
+    gone = (copies.unionByName(similar).groupBy("id", "th").agg(F.collect_set(F.struct("line", "words")).alias("gone"))
+            .select("id", "th", F.sort_array("gone.line").alias("removed"), F.aggregate("gone.words", F.lit(0).cast("long"), lambda a, x: a + x).alias("lost")))
+    return documents, materialize(gone, "line-removals")
 
 
 def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -508,11 +518,8 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     lines at the same place (an id with two texts) order is by a hash. Other
     columns are not read; an empty table gives no rows.
     """
-    text = text_or_empty(text_col)
-    breaks = F.octet_length(text) - F.octet_length(F.translate(text, "\n", ""))
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"),
-                     (breaks + 1).cast("long").alias("n_lines")).dropDuplicates(["id", "th"])
-    gone = materialize(later_lines(df, id_col, text_col, **options), "line-removals").withColumnsRenamed({"id": "gone_id", "th": "gone_th"})
+    docs, gone = later_lines(df, id_col, text_col, **options)
+    gone = gone.withColumnsRenamed({"id": "gone_id", "th": "gone_th"})
     got = docs.join(gone, docs["th"].eqNullSafe(gone["gone_th"]) & docs["id"].eqNullSafe(gone["gone_id"]), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return got.select(F.col("id").alias(id_col), "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
@@ -527,16 +534,16 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     own lines go with it, also where a later document repeats them. Rows that
     repeat id and text become one row. Other columns stay as they are.
     """
-    gone = materialize(later_lines(df, id_col, text_col, **options), "line-removals")
-    gone = gone.select(F.col("id").alias("__tw_id"), F.col("th").alias("__tw_th"), F.col("removed").alias("__tw_gone"))
+    words, gone = later_lines(df, id_col, text_col, **options)
+    same = words["th"].eqNullSafe(gone["th"]) & words["id"].eqNullSafe(gone["id"])
+    num, den = least_left
+    enough = (F.col("lost") < F.col("words")) & (den * (F.col("words") - F.col("lost")) >= num * F.col("words"))
+    gone = words.join(gone, same).select(words["id"].alias("__tw_id"), words["th"].alias("__tw_th"), F.col("removed").alias("__tw_gone"), enough.alias("__tw_left"))
     docs = df.withColumn("__tw_key", F.col(id_col).cast("long")).withColumn("__tw_hash", F.xxhash64(text_or_empty(text_col)))
     if not docs.groupBy("__tw_key", "__tw_hash").count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates(["__tw_key", "__tw_hash"])
     docs = docs.join(gone, F.col("__tw_hash").eqNullSafe(F.col("__tw_th")) & F.col("__tw_key").eqNullSafe(F.col("__tw_id")), "left")
     kept = F.concat_ws("\n", F.filter(F.split(text_or_empty(text_col), "\n", -1), lambda _, i: ~F.array_contains("__tw_gone", i)))
     docs = docs.withColumn("__tw_text", F.when(F.col("__tw_gone").isNull(), F.col(text_col)).otherwise(kept))
-    words = [F.regexp_count(F.col(c), F.lit(r"[^\x20\x09-\x0D]+")) for c in ("__tw_text", text_col)]
-    num, den = least_left
-    enough = F.col("__tw_text").rlike(r"\S") & (den * words[0] >= num * words[1])
-    docs = docs.where(F.col("__tw_gone").isNull() | enough)
+    docs = docs.where(F.coalesce("__tw_left", F.lit(True)))
     return docs.select(*[F.col("__tw_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
