@@ -86,3 +86,55 @@ def test_last_metric_value(spark):
     df = spark.createDataFrame(rows, "i int, vals array<struct<value:string>>, value string")
     got = [r[0] for r in df.orderBy("i").select(last_metric_value("vals", "value")).collect()]
     assert got == [None, "5", "6", "7"]
+
+
+def test_nested_metrics_equal_the_python_rule(spark):
+    """Random nested values, escapes, booleans, sums and integers beyond a double, sixty levels: against a plain walk."""
+    import json
+    import math
+    import random
+
+    def number(v):
+        try:
+            return None if v is None or isinstance(v, (dict, list)) else float(v)
+        except ValueError:
+            return None
+        except OverflowError:
+            return math.inf
+
+    def total(v):
+        if isinstance(v, (dict, list)):
+            found = [x for x in map(total, v.values() if isinstance(v, dict) else v) if x is not None]
+            return sum(found) if found else None
+        return number(v)
+
+    def first(v, names):
+        for k, child in v.items() if isinstance(v, dict) else [(None, x) for x in v] if isinstance(v, list) else []:
+            got = number(child) if k in names else None
+            got = first(child, names) if got is None else got
+            if got is not None:
+                return got
+        return None
+
+    rnd = random.Random(3)
+
+    def value(depth):
+        r = rnd.random()
+        if depth and r < 0.3:
+            return {rnd.choice(["a", "share", "x y", 'q"u', "k:", "é", "\\"]) + rnd.choice(["", "1"]): value(depth - 1) for _ in range(rnd.randint(0, 4))}
+        if depth and r < 0.5:
+            return [value(depth - 1) for _ in range(rnd.randint(0, 4))]
+        return rnd.choice([1, 2.5, -3, "7", "x", "tr:ue", "true", "", None, True, False, 'a"b', "a\\", "1e3", 10**30, "[1]", '{"share":5}', "share"])
+
+    deep = 5
+    for _ in range(60):
+        deep = {"a": [deep, 1]}
+    values = [value(4) for _ in range(1500)] + [deep, {"a": [1e308, 1e308]}, {"a": [10**400]}, {"share": [1], "b": {"share": 2}}]
+    texts = [json.dumps(v, ensure_ascii=rnd.random() < 0.5, separators=rnd.choice([(",", ":"), (", ", " : ")])) for v in values]
+    junk = ["", "abc", "{", "[1,", "nope]", None]
+    df = spark.createDataFrame(list(enumerate(texts + junk)), "i int, t string")
+    got = {r.i: (r.s, r.f) for r in df.select("i", leaf_sum("t").alias("s"), find_metric("t", ["share", "a1"]).alias("f")).collect()}
+    for i, v in enumerate(values):
+        for a, b in zip(got[i], (total(v), first(v, {"share", "a1"}))):
+            assert a == b or (a is not None and b is not None and math.isclose(a, b, rel_tol=1e-12)), texts[i]
+    assert all(got[len(texts) + k] == (None, None) for k in range(len(junk)))
