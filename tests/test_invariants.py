@@ -72,6 +72,10 @@ def test_q3_backfill_chunks_are_half_open(spark, tmp_path):
              '"paging":{}}' % ((d + dt.timedelta(days=1)).isoformat(), i)) for i, d in enumerate(days)]
     landing = spark.createDataFrame(rows, "entity string, parent_id string, page_no long, body string")
     store = StagingStore(spark, str(tmp_path / "store"))
+    # a backfill reads the insights of staged pages
+    store.commit({"Page": spark.createDataFrame(landing.selectExpr("CAST(parent_id AS BIGINT)").distinct().collect(), "PageID long").selectExpr(
+        "PageID", "CAST(NULL AS STRING) PageName", "CAST(NULL AS BIGINT) BusinessID", "CAST(NULL AS STRING) VerificationStatus",
+        "CAST(NULL AS BOOLEAN) IsVerified", "CAST(NULL AS BOOLEAN) IsPublished", "CAST(NULL AS TIMESTAMP_NTZ) LoadDate")})
     ctx = RunContext(spark=spark, landing=landing, store=store, run_date=dt.date(2026, 8, 13),
                      load_ts=dt.datetime(2026, 8, 13))
     results = run_backfill(ctx, days[0], days[-1] + dt.timedelta(days=1), chunk_days=5)

@@ -72,7 +72,8 @@ def main(argv: list[str] | None = None) -> int:
         results = run_post_snapshot(ctx)
     for r in results:
         print(json.dumps({"step": r.name, "status": r.status, "rows_received": r.rows_received,
-                          "rows_written": r.rows_written, "error": r.error}))
+                          "rows_written": r.rows_written, "rows_inserted": r.rows_inserted, "rows_updated": r.rows_updated,
+                          "rows_rejected": r.rows_rejected, "rows_skipped": r.rows_skipped, "error": r.error}))
     return 0 if all(r.status == "succeeded" for r in results) else 1
 
 

@@ -194,12 +194,12 @@ def q_proj_ad_account(spark, sf):
     return entities.ad_account(recs).select("AccountID", "AccountName", "Balance", "BusinessID")
 
 
-def _campaign_pages(orders: DataFrame, renumber: bool = False) -> DataFrame:
+def _campaign_pages(orders: DataFrame, renumber: bool = False, next_link: F.Column | None = None) -> DataFrame:
     acct = F.concat(F.lit("act_"), F.col("o_custkey").cast("string"))
     record = A.rec(id=F.col("o_orderkey").cast("string"), account_id=acct,
                    objective=F.col("o_orderpriority"), status=F.col("o_orderstatus"),
                    daily_budget=F.col("o_totalprice"), updated_time=A.iso_utc("o_orderdate"))
-    return A.landing(orders, "campaign", acct, F.col("o_orderkey"), [record], renumber=renumber)
+    return A.landing(orders, "campaign", acct, F.col("o_orderkey"), [record], next_link, renumber=renumber)
 
 
 @register("proj_campaign", """
@@ -920,6 +920,29 @@ def q_integrity_rejects(spark, sf):
 PIPELINE_RUN_DATE = dt.date(2024, 1, 20)
 
 
+def _by_account(pages: DataFrame, orders: DataFrame) -> DataFrame:
+    """Pages of an order's line items as pages of the order's account, numbered anew."""
+    owner = orders.select(_pad(F.col("o_orderkey")).alias("parent_id"), F.concat(F.lit("act_"), F.col("o_custkey").cast("string")).alias("_account"),
+                          F.col("o_orderkey").alias("_order"))
+    moved = pages.join(owner, "parent_id").select("entity", F.col("_account").alias("parent_id"),
+                                                  (F.shiftleft("_order", 24) + F.col("page_no")).alias("page_no"), "body")
+    return A.number_pages(moved, bucket=1 << 30)
+
+
+def _daily_ad_insight_pages(li: DataFrame) -> DataFrame:
+    """A line item as a day's insight of an ad (its part), in pages of an account (its supplier); days fall in January 2024."""
+    day = F.date_add(F.lit(dt.date(2024, 1, 1)), F.pmod(F.datediff(F.col("l_shipdate"), F.lit(dt.date(1992, 1, 1))), F.lit(31)).cast("int"))
+    li = li.select("l_suppkey", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", day.alias("_day"))
+    # equal rows count once; rows of an account in the order of their values
+    li = li.groupBy("l_suppkey", "l_partkey", "_day").agg(F.sum("l_extendedprice").alias("spend"), F.sum("l_quantity").alias("seen"),
+                                                          F.min("l_orderkey").alias("first"))
+    record = A.rec(ad_id=F.concat(F.col("l_partkey").cast("string"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0")),
+                   account_id=F.concat(F.lit("act_"), F.col("l_suppkey").cast("string")), date_start=F.date_format("_day", "yyyy-MM-dd"),
+                   spend=F.round("spend", 2).cast("decimal(18,2)"), impressions=F.col("seen").cast("long"))
+    page_no = F.shiftleft(F.col("l_partkey").cast("long"), 6) + F.dayofmonth("_day")
+    return A.landing(li, "ad_insight", F.concat(F.lit("act_"), F.col("l_suppkey").cast("string")), page_no, [record], renumber=True)
+
+
 def landing_from_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Every entity's landed pages, derived from the test tables."""
     t = lambda name: A.table(spark, sf, name)
@@ -937,13 +960,14 @@ def landing_from_tables(spark: SparkSession, sf: str) -> DataFrame:
                    updated_time=A.iso_utc("ts"))
     parts = [
         _customer_pages(spark, sf, renumber=True),
-        _campaign_pages(t("orders"), renumber=True),
-        _adset_pages(A.table(spark, sf, "lineitem", spread_input=False), renumber=True),
+        # the fetch of every fiftieth account's campaigns did not end
+        _campaign_pages(t("orders"), renumber=True, next_link=F.when(F.col("o_custkey") % 50 == 49, "/more")),
+        _by_account(_adset_pages(A.table(spark, sf, "lineitem", spread_input=False), renumber=True), t("orders")),
         A.landing(ev, "ad", F.concat(F.lit("act_"), F.col("user_id").cast("string")), F.col("event_id"), [ad_rec],
                   renumber=True),
         A.landing(sup, "page", F.col("s_nationkey"), F.col("s_suppkey"), [page_rec], renumber=True),
         A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [post_rec], renumber=True),
-        _ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False), renumber=True),
+        _daily_ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False)),
         _page_insight_pages(ev, renumber=True),
         _post_insight_pages(docs),  # one page per post, already page 0: nothing to renumber
     ]
@@ -960,9 +984,58 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:8]}"
 
 
-@register("daily_staging")
+#: per step: the table it fills, a key column and a value column that are summed
+_STEP_TABLES = {
+    "dimension_business": ("Business", "BusinessID", "length(BusinessName)"),
+    "dimension_ad_account": ("AdAccount", "length(AccountID)", "Balance"),
+    "dimension_campaign": ("Campaign", "CampaignID", "DailyBudget"),
+    "dimension_adset": ("AdSet", "AdSetID", "TargetingAgeMin"),
+    "dimension_ad_and_creative": ("Ad", "AdID", "CampaignID"),
+    "dimension_page": ("Page", "PageID", "BusinessID"),
+    "dimension_post": ("Post", "PageID", "length(PostID)"),
+    "fact_ad_insights_daily": ("AdInsightsDaily", "AdID", "Spend"),
+    "fact_page_insights_daily": ("PageInsightsDaily", "PageID", "Value"),
+    "fact_post_insights_daily": ("PostInsightsDaily", "length(PostID)", "Reactions"),
+}
+#: what each table must hold after the daily run, and the parents that the run must leave out
+_STEP_ORACLE = {
+    "Business": "SELECT DISTINCT n_nationkey AS BusinessID, n_name AS BusinessName FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "AdAccount": "SELECT 'act_' || c_custkey AS AccountID, CAST(c_acctbal AS DECIMAL(18,2)) AS Balance FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "Campaign": """SELECT o_orderkey AS CampaignID, CAST(o_totalprice AS DECIMAL(18,2)) AS DailyBudget FROM orders
+        WHERE o_custkey % 50 <> 49 AND o_custkey IN (SELECT c_custkey FROM customer)""",
+    "AdSet": """SELECT l_orderkey * 10 + l_linenumber AS AdSetID, l_orderkey AS CampaignID, CAST(l_quantity AS INT) AS TargetingAgeMin
+        FROM lineitem JOIN Campaign ON l_orderkey = CampaignID
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey * 10 + l_linenumber ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+          l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""",
+    "Ad": """SELECT event_id AS AdID, coalesce(CampaignID, user_id) AS CampaignID FROM events LEFT JOIN AdSet ON AdSetID = event_id * 10 + 1
+        WHERE user_id IN (SELECT c_custkey FROM customer)""",
+    "Page": "SELECT s_suppkey AS PageID, s_nationkey AS BusinessID FROM supplier",
+    "Post": "SELECT doc_id % 100 AS PageID, source || '_' || doc_id AS PostID, doc_id, n_chars FROM documents WHERE doc_id % 100 IN (SELECT s_suppkey FROM supplier)",
+    "AdInsightsDaily": """SELECT CAST(l_partkey || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS BIGINT) AS AdID, CAST(round(sum(l_extendedprice), 2) AS DECIMAL(18,2)) AS Spend
+        FROM lineitem WHERE l_suppkey IN (SELECT c_custkey FROM customer)
+        AND date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 31 + 1 BETWEEN 10 AND 19
+        GROUP BY l_partkey, l_suppkey, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 31""",
+    "PageInsightsDaily": """SELECT user_id AS PageID, CAST(value AS DECIMAL(18,6)) AS Value FROM events
+        WHERE CAST(ts AS DATE) >= DATE '2024-01-10' AND CAST(ts AS DATE) < DATE '2024-01-20' AND user_id IN (SELECT s_suppkey FROM supplier)
+        QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE), event_type ORDER BY ts) = 1""",
+    "PostInsightsDaily": """SELECT PostID, CASE WHEN doc_id % 3 = 0 THEN n_chars ELSE n_chars % 10 + n_chars % 3 END AS Reactions FROM Post""",
+}
+_STEP_SKIPPED = {"Campaign": "(SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 50 = 49)"}
+
+
+def _daily_oracle() -> str:
+    tables = ", ".join(f"{t} AS ({sql})" for t, sql in _STEP_ORACLE.items())
+    rows = " UNION ALL ".join(
+        f"""SELECT '{step}' AS FunctionName, 'succeeded' AS Status, count(*) AS RowsReceived, count(*) AS RowsWritten, count(*) AS RowsInserted,
+        CAST(0 AS BIGINT) AS RowsUpdated, CAST(0 AS BIGINT) AS RowsRejected, CAST({_STEP_SKIPPED.get(t, '0')} AS BIGINT) AS RowsSkipped,
+        CAST(0 AS INTEGER) AS ErrorCount, count(*) AS TableRows, CAST(sum({key}) AS DECIMAL(38,6)) AS KeySum, CAST(sum({value}) AS DECIMAL(38,6)) AS ValueSum FROM {t}"""
+        for step, (t, key, value) in _STEP_TABLES.items())
+    return f"WITH {tables} {rows}"
+
+
+@register("daily_staging", _daily_oracle())
 def q_daily_staging(spark, sf):
-    """PL-1/PL-4: land every entity, run the daily staging (7 dimensions, 3 facts), return the run log."""
+    """PL-1/PL-4: land every entity, run the daily staging (7 dimensions, 3 facts) over ten days; the run log with each table's content in sums."""
     from tidewater.plans.pipeline import RunContext, run_staging
     from tidewater.sources.store import StagingStore
     land_path = _scratch(spark, "landing")
@@ -971,9 +1044,103 @@ def q_daily_staging(spark, sf):
     store = StagingStore(spark, _scratch(spark, "staging"))
     ctx = RunContext(spark=spark, landing=landing, store=store, run_date=PIPELINE_RUN_DATE,
                      load_ts=dt.datetime(2024, 1, 20, 6), full_refresh=False,
-                     since=WINDOW_SINCE, until=WINDOW_UNTIL)
+                     since=WINDOW_SINCE, until=WINDOW_UNTIL, post_mode="all")
     run_staging(ctx)
-    return store.run_log().select("FunctionName", "Status", "RowsReceived", "RowsWritten", "ErrorCount")
+    content = None
+    for step, (table, key, value) in _STEP_TABLES.items():
+        sums = store.read(table).agg(F.count(F.lit(1)).alias("TableRows"), *[
+            F.expr(f"CAST(sum({c}) AS DECIMAL(38,6))").alias(name) for c, name in ((key, "KeySum"), (value, "ValueSum"))])
+        sums = sums.withColumn("FunctionName", F.lit(step))
+        content = sums if content is None else content.unionByName(sums)
+    log = store.run_log().select("FunctionName", "Status", "RowsReceived", "RowsWritten", "RowsInserted", "RowsUpdated", "RowsRejected", "RowsSkipped",
+                                 "ErrorCount")
+    return log.join(content, "FunctionName")
+
+
+def _job(spark, sf: str, parts: list[DataFrame], **options):
+    """A context over landed ``parts`` and an empty store."""
+    from tidewater.plans.pipeline import RunContext
+    from tidewater.sources.store import StagingStore
+    land_path = _scratch(spark, "landing")
+    for part in parts:
+        part.write.mode("append").partitionBy("entity").parquet(land_path)
+    return RunContext(spark=spark, landing=spark.read.parquet(land_path), store=StagingStore(spark, _scratch(spark, "staging")),
+                      run_date=PIPELINE_RUN_DATE, load_ts=dt.datetime(2024, 1, 20, 6), **options)
+
+
+def _supplier_pages(spark, sf) -> DataFrame:
+    record = A.rec(id=F.col("s_suppkey").cast("string"), name=F.col("s_name"))
+    return A.landing(A.table(spark, sf, "supplier"), "page", F.lit("999"), F.col("s_suppkey"), [record], renumber=True)
+
+
+@register("backfill_tables", f"""
+    WITH Account AS (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    ad AS (SELECT CAST(l_partkey || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS BIGINT) AS k,
+             20240101 + date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 31 AS DateKey, CAST(round(sum(l_extendedprice), 2) AS DECIMAL(18,2)) AS v
+           FROM lineitem WHERE l_suppkey IN (SELECT c_custkey FROM Account) GROUP BY l_partkey, l_suppkey, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) % 31),
+    page AS (SELECT user_id AS k, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS DateKey, CAST(value AS DECIMAL(18,6)) AS v FROM events
+           WHERE user_id IN (SELECT s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE), event_type ORDER BY ts) = 1)
+    SELECT t AS TableName, CAST(DateKey AS INTEGER) AS DateKey, count(*) AS TableRows, CAST(sum(k) AS DECIMAL(38,6)) AS KeySum, CAST(sum(v) AS DECIMAL(38,6)) AS ValueSum
+    FROM (SELECT 'AdInsightsDaily' AS t, k, DateKey, CAST(v AS DECIMAL(38,6)) AS v FROM ad UNION ALL SELECT 'PageInsightsDaily', k, DateKey, CAST(v AS DECIMAL(38,6)) FROM page) x
+    WHERE DateKey >= 20240103 AND DateKey < 20240130 GROUP BY 1, 2""")
+def q_backfill_tables(spark, sf):
+    """PL-2 with SRC-2/SRC-4: backfill of both facts over 27 days in chunks of seven, from one parse of each landing; the tables by day."""
+    from tidewater.plans.pipeline import run_backfill, run_steps, step_ad_account, step_page
+    ctx = _job(spark, sf, [_customer_pages(spark, sf, renumber=True), _supplier_pages(spark, sf),
+                           _daily_ad_insight_pages(A.table(spark, sf, "lineitem", spread_input=False)),
+                           _page_insight_pages(A.table(spark, sf, "events"), renumber=True)])
+    run_steps(ctx, [("dimension_ad_account", step_ad_account), ("dimension_page", step_page)])
+    run_backfill(ctx, dt.date(2024, 1, 3), dt.date(2024, 1, 30), chunk_days=7)
+    out = None
+    for table, key, value in (("AdInsightsDaily", "AdID", "Spend"), ("PageInsightsDaily", "PageID", "Value")):
+        days = ctx.store.read(table).groupBy("DateKey").agg(F.count(F.lit(1)).alias("TableRows"), *[
+            F.sum(c).cast("decimal(38,6)").alias(name) for c, name in ((key, "KeySum"), (value, "ValueSum"))])
+        days = days.select(F.lit(table).alias("TableName"), "DateKey", "TableRows", "KeySum", "ValueSum")
+        out = days if out is None else out.unionByName(days)
+    return out
+
+
+def _post_pages(docs: DataFrame) -> DataFrame:
+    created = _ts(dt.datetime(2024, 1, 1)) + F.make_dt_interval(mins=F.col("doc_id"))
+    record = A.rec(id=F.concat_ws("_", "source", F.col("doc_id").cast("string")), created_time=A.iso_utc(created), status_type=F.col("lang"))
+    return A.landing(docs, "post", F.col("doc_id") % 100, F.col("doc_id"), [record], renumber=True)
+
+
+def _snapshot(spark, sf):
+    """Pages, posts and a snapshot of all posts whose page has a credential (two of three); campaigns of which some fetches did not end."""
+    from tidewater.plans.pipeline import run_post_snapshot, run_steps, step_campaign, step_page, step_post
+    docs = A.table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
+    sup = A.table(spark, sf, "supplier")
+    bad = sup.where("s_suppkey % 10 = 9").select(F.lit("campaign").alias("entity"), F.concat(F.lit("bad_"), F.col("s_suppkey").cast("string")).alias("parent_id"),
+                                                 F.lit(0).cast("long").alias("page_no"), F.lit('{"data":{"error":1}}').alias("body"))
+    campaigns = _campaign_pages(A.table(spark, sf, "orders"), renumber=True, next_link=F.when(F.col("o_custkey") % 50 == 49, "/more"))
+    ctx = _job(spark, sf, [_supplier_pages(spark, sf), _post_pages(docs), _post_insight_pages(docs), campaigns, bad], since=dt.date(2024, 2, 14),
+               until=POST_SNAPSHOT, full_refresh=True, page_availability=sup.select(F.col("s_suppkey").alias("PageID"), (F.col("s_suppkey") % 3 != 0).alias("available")))
+    run_steps(ctx, [("dimension_page", step_page), ("dimension_post", step_post), ("dimension_campaign", step_campaign)])
+    run_post_snapshot(ctx)
+    return ctx.store
+
+
+@register("post_snapshot", """
+    SELECT source || '_' || doc_id AS PostID, 20240215 AS DateKey,
+           CASE WHEN doc_id % 4 = 0 THEN NULL ELSE doc_id % 7 END AS Shares,
+           CASE WHEN doc_id % 3 = 0 THEN n_chars ELSE n_chars % 10 + n_chars % 3 END AS Reactions,
+           doc_id % 5 AS Comments
+    FROM documents WHERE doc_id % 100 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0)""")
+def q_post_snapshot(spark, sf):
+    """PL-3 + SRC-6: one snapshot over all posts of the pages that have a credential."""
+    return _snapshot(spark, sf).read("PostInsightsDaily").select("PostID", "DateKey", "Shares", "Reactions", "Comments")
+
+
+@register("skipped_parents", """
+    SELECT 'campaign' AS Entity, 'act_' || o_custkey AS ParentID, 'not_finished' AS Reason FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 50 = 49) o
+    UNION ALL SELECT 'campaign', 'bad_' || s_suppkey, 'data_not_a_list' FROM supplier WHERE s_suppkey % 10 = 9
+    UNION ALL SELECT 'post_insight', source || '_' || doc_id, 'no_credential' FROM documents
+      WHERE doc_id % 100 NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0)""")
+def q_skipped_parents(spark, sf):
+    """SRC-1 + SRC-5 + SRC-6: parents that the runs left out, with the reason: bad pages, unfinished fetches, no credential."""
+    from tidewater.plans.pipeline import SKIPPED
+    return _snapshot(spark, sf).read(SKIPPED.name, SKIPPED).select("Entity", "ParentID", "Reason")
 
 
 @register("landing_stream", """
@@ -1006,4 +1173,5 @@ def q_landing_stream(spark, sf):
     return store.read("Campaign")
 
 
-ROWS_ONLY = ("daily_staging", "landing_stream")
+#: these run jobs while they are built, so their plans say little
+ROWS_ONLY = ("daily_staging", "landing_stream", "backfill_tables", "post_snapshot", "skipped_parents")

@@ -258,4 +258,5 @@ TABLES: dict[str, TableSpec] = {t.name: t for t in [
 # Run log (one row per pipeline step), append-only.
 RUN_LOG = _struct(
     "RunId string, FunctionName string, StartedAt timestamp, FinishedAt timestamp, "
-    "Status string, RowsReceived long, RowsWritten long, ErrorCount int, ErrorMessage string")
+    "Status string, RowsReceived long, RowsWritten long, ErrorCount int, ErrorMessage string, "
+    "RowsInserted long, RowsUpdated long, RowsRejected long, RowsSkipped long")

@@ -17,7 +17,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +51,9 @@ def _with_envelope(pages: DataFrame) -> DataFrame:
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    """Pages whose ``data`` is not a list: the reference raises; we quarantine."""
+    """Pages whose ``data`` is not a list, with their body (jobs record the parent, see ``incomplete_parents``)."""
     return (_with_envelope(pages).where(F.col("_env.data").isNull())
-            .select("entity", "parent_id", "page_no", "body",
-                    F.lit("data_not_a_list").alias("reason")))
+            .select("entity", "parent_id", "page_no", "body", F.lit("data_not_a_list").alias("reason")))
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -96,6 +95,15 @@ def explode_pages(pages: DataFrame, schema: T.StructType | None = None,
     return parse_records(page_rows(pages), schema, keep_text)
 
 
+def pages_of(pages: DataFrame, parents: DataFrame, parent_col: str) -> DataFrame:
+    """SRC-2 + SRC-4 before the parse: landed pages whose parent is staged.
+
+    A semi join on the narrow landing columns with the distinct staged ids; the
+    envelopes of other parents are not parsed.
+    """
+    return pages.join(read_ids(parents, parent_col, "parent_id"), "parent_id", "left_semi")
+
+
 def parent_scoped(records: DataFrame, parents: DataFrame, parent_col: str = "id") -> DataFrame:
     """SRC-2: keep records whose landing parent is in the parent list.
 
@@ -107,17 +115,30 @@ def parent_scoped(records: DataFrame, parents: DataFrame, parent_col: str = "id"
     return records.join(keys, "_parent", "left_semi")
 
 
-def complete_parent_rows(rows: DataFrame) -> DataFrame:
+def complete_parent_rows(rows: DataFrame, watch: Observation | None = None) -> DataFrame:
     """SRC-5 over ``page_rows``: parents whose landing is complete: pages
     0..n-1 all present, every ``data`` a list, and the last page without a
     ``next`` link. One aggregate with a partial step (a parent with millions
-    of pages is pre-reduced per task). Output: ``parent_id``."""
-    # one row per page: its first record (_pos 0) or the NULL row of an empty page
-    per_page = rows.where(F.coalesce(F.col("_pos"), F.lit(0)) == 0)
-    return _finished(per_page, ["_parent"]).select(F.col("_parent").alias("parent_id"))
+    of pages is pre-reduced per task). Output: ``parent_id``. ``watch`` counts
+    the ``parents`` and the ``complete`` ones in the job that uses the result."""
+    fetched = _fetches(_first_of_page(rows), ["_parent"])
+    if watch is not None:
+        fetched = fetched.observe(watch, F.count(F.lit(1)).alias("parents"), F.count_if(F.col("reason").isNull()).alias("complete"))
+    return fetched.where(F.col("reason").isNull()).select(F.col("_parent").alias("parent_id"))
 
 
-def _finished(per_page: DataFrame, keys: list[str]) -> DataFrame:
+def incomplete_parents(rows: DataFrame) -> DataFrame:
+    """Parents of ``page_rows`` whose landing is not complete: ``parent_id`` and the ``reason``."""
+    return _fetches(_first_of_page(rows), ["_parent"]).where(F.col("reason").isNotNull()).select(F.col("_parent").alias("parent_id"), "reason")
+
+
+def _first_of_page(rows: DataFrame) -> DataFrame:
+    """One row per page: its first record (_pos 0) or the NULL row of an empty page."""
+    return rows.where(F.coalesce(F.col("_pos"), F.lit(0)) == 0)
+
+
+def _fetches(per_page: DataFrame, keys: list[str]) -> DataFrame:
+    """Each fetch (``keys``) with the reason why it is not complete, or NULL."""
     per_fetch = per_page.groupBy(*keys).agg(
         F.max_by(F.col("_has_next"), F.col("_page")).alias("last_has_next"),
         F.max("_page").alias("max_page"),
@@ -125,10 +146,14 @@ def _finished(per_page: DataFrame, keys: list[str]) -> DataFrame:
         F.min("_page").alias("min_page"),
         F.count_if(F.col("_bad")).alias("bad_pages"),
     )
-    return per_fetch.where(
-        ~F.col("last_has_next") & (F.col("min_page") == 0)
-        & (F.col("n_pages") == F.col("max_page") + 1) & (F.col("bad_pages") == 0)
-    ).select(*keys)
+    whole = (F.col("min_page") == 0) & (F.col("n_pages") == F.col("max_page") + 1)
+    reason = (F.when(F.col("bad_pages") > 0, "data_not_a_list").when(~F.coalesce(whole, F.lit(False)), "page_missing")
+              .when(F.coalesce("last_has_next", F.lit(True)), "not_finished"))
+    return per_fetch.select(*keys, reason.alias("reason"))
+
+
+def _finished(per_page: DataFrame, keys: list[str]) -> DataFrame:
+    return _fetches(per_page, keys).where(F.col("reason").isNull()).select(*keys)
 
 
 def finished_fetches(pages: DataFrame) -> DataFrame:
@@ -164,11 +189,11 @@ def keep_complete(records: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def complete_records(rows: DataFrame, schema: T.StructType | None = None,
-                     keep_text: bool = True) -> DataFrame:
+                     keep_text: bool = True, watch: Observation | None = None) -> DataFrame:
     """SRC-1 + SRC-5 from one ``page_rows`` frame: records of complete parents,
     gated before the record parse. Persist ``rows`` when it feeds both sides
     so the envelopes are parsed once."""
-    gated = _semi_done(rows.where(F.col("_rec").isNotNull()), complete_parent_rows(rows))
+    gated = _semi_done(rows.where(F.col("_rec").isNotNull()), complete_parent_rows(rows, watch))
     return parse_records(gated, schema, keep_text)
 
 
@@ -216,7 +241,7 @@ def read_ids(df: DataFrame, column: str, alias: str = "id") -> DataFrame:
 
 __all__ = [
     "SEQ_COLS", "LANDED", "FETCH", "read_landing", "rejected_pages", "page_rows", "parse_records", "explode_pages",
-    "parent_scoped", "complete_parent_rows", "complete_parents", "finished_fetches", "pages_without",
+    "pages_of", "parent_scoped", "complete_parent_rows", "incomplete_parents", "complete_parents", "finished_fetches", "pages_without",
     "keep_complete", "complete_records",
     "entitled_parents", "skipped_parents", "explode_metric_values", "last_metric_value", "read_ids",
 ]
