@@ -1175,3 +1175,6 @@ def q_landing_stream(spark, sf):
 
 #: these run jobs while they are built, so their plans say little
 ROWS_ONLY = ("daily_staging", "landing_stream", "backfill_tables", "post_snapshot", "skipped_parents")
+
+# the projections with every column; they register themselves with the function above
+from tidewater.plans import column_queries  # noqa: E402, F401
