@@ -17,7 +17,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,16 +115,12 @@ def parent_scoped(records: DataFrame, parents: DataFrame, parent_col: str = "id"
     return records.join(keys, "_parent", "left_semi")
 
 
-def complete_parent_rows(rows: DataFrame, watch: Observation | None = None) -> DataFrame:
+def complete_parent_rows(rows: DataFrame) -> DataFrame:
     """SRC-5 over ``page_rows``: parents whose landing is complete: pages
     0..n-1 all present, every ``data`` a list, and the last page without a
     ``next`` link. One aggregate with a partial step (a parent with millions
-    of pages is pre-reduced per task). Output: ``parent_id``. ``watch`` counts
-    the ``parents`` and the ``complete`` ones in the job that uses the result."""
-    fetched = _fetches(_first_of_page(rows), ["_parent"])
-    if watch is not None:
-        fetched = fetched.observe(watch, F.count(F.lit(1)).alias("parents"), F.count_if(F.col("reason").isNull()).alias("complete"))
-    return fetched.where(F.col("reason").isNull()).select(F.col("_parent").alias("parent_id"))
+    of pages is pre-reduced per task). Output: ``parent_id``."""
+    return _finished(_first_of_page(rows), ["_parent"]).select(F.col("_parent").alias("parent_id"))
 
 
 def incomplete_parents(rows: DataFrame) -> DataFrame:
@@ -189,14 +185,33 @@ def keep_complete(records: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def complete_records(rows: DataFrame, schema: T.StructType | None = None,
-                     keep_text: bool = True, watch: Observation | None = None) -> DataFrame:
+                     keep_text: bool = True) -> DataFrame:
     """SRC-1 + SRC-5 from one ``page_rows`` frame: records of complete parents,
     gated before the record parse. Persist ``rows`` when it feeds both sides
     so the envelopes are parsed once."""
-    gated = _semi_done(rows.where(F.col("_rec").isNotNull()), complete_parent_rows(rows, watch))
+    gated = _semi_done(rows.where(F.col("_rec").isNotNull()), complete_parent_rows(rows))
     return parse_records(gated, schema, keep_text)
 
 
+#: incomplete parents that may be broadcast (their ids take a few MB)
+FEW_PARENTS = 100_000
+
+
+def without_parents(rows: DataFrame, missing: DataFrame, n: int) -> DataFrame:
+    """Record rows of ``page_rows`` whose parent is not among the ``n`` parents of ``missing``.
+
+    Fetches that did not complete are few as a rule: with none the rows pass as
+    they are, with up to ``FEW_PARENTS`` their ids are broadcast, so record text is not
+    shuffled by parent; beyond that it is a join like others.
+    """
+    records = rows.where(F.col("_rec").isNotNull())
+    if not n:
+        return records
+    gone = missing.select(F.col("parent_id").alias("_gone"))
+    gone = F.broadcast(gone) if n <= FEW_PARENTS else gone
+    return records.join(gone, F.col("_parent").eqNullSafe(F.col("_gone")), "left_anti")  # null-safe: root endpoints have no parent
+
+
 def entitled_parents(parents: DataFrame, availability: DataFrame, key: str,
                      flag_col: str = "available", default: bool = False) -> DataFrame:
     """SRC-6: parents that have their own credential, else the default.
@@ -241,7 +256,7 @@ def read_ids(df: DataFrame, column: str, alias: str = "id") -> DataFrame:
 
 __all__ = [
     "SEQ_COLS", "LANDED", "FETCH", "read_landing", "rejected_pages", "page_rows", "parse_records", "explode_pages",
-    "pages_of", "parent_scoped", "complete_parent_rows", "incomplete_parents", "complete_parents", "finished_fetches", "pages_without",
+    "pages_of", "parent_scoped", "complete_parent_rows", "incomplete_parents", "without_parents", "complete_parents", "finished_fetches", "pages_without",
     "keep_complete", "complete_records",
     "entitled_parents", "skipped_parents", "explode_metric_values", "last_metric_value", "read_ids",
 ]
