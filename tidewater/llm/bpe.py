@@ -6,7 +6,8 @@ carries an output number; summed along a word's path they give the word's rank
 among the sorted words, hence its ids. The automaton is written to one file that
 workers map into memory. A batch's distinct words walk it together, one byte a
 step. Words it does not hold are merged exactly, lowest-ranked pair first and
-leftmost among equals, all words of the batch side by side.
+leftmost among equals: short words of the batch side by side, a long one by
+buckets of ranks, in time near its length.
 
 The lexicon only changes speed: its size is a parameter, and a word in it gets
 the ids that merging gives.
@@ -15,6 +16,7 @@ the ids that merging gives.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import tempfile
 
@@ -210,6 +212,11 @@ class Merger:
             todo = np.delete(todo, put)
             self.probes += 1
         self.made = np.array(made, np.int64)
+        self.left, self.right = np.array(left, np.int64), np.array(right, np.int64)
+        # every merge of a symbol ranks after the merges that make it: then all pairs of one rank may go at once
+        born = np.full(int(max(self.made.max(initial=0), self.left.max(initial=0), self.right.max(initial=0))) + 1, -1, np.int64)
+        np.maximum.at(born, self.made, np.arange(len(key)))
+        self.ordered = bool((np.maximum(born[self.left], born[self.right]) < np.arange(len(key))).all())
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 20 | right
@@ -228,7 +235,76 @@ class Merger:
         return out
 
     def merge(self, data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """ids of all words, one after the other, and the number of ids of each word.
+        """ids of all words, one after the other, and the number of ids of each word."""
+        long = lens > LONG_WORD
+        if not long.any():
+            return self._merge_short(data, starts, lens)
+        ids, n = self._merge_short(data, starts[~long], lens[~long])
+        own = [self._merge_long(data[s:s + k]) for s, k in zip(starts[long].tolist(), lens[long].tolist())]
+        size = np.empty(len(lens), np.int64)
+        size[~long], size[long] = n, [len(x) for x in own]
+        first, out = np.cumsum(size) - size, np.empty(int(size.sum()), np.int64)
+        out[ragged(first[~long], n)] = ids
+        out[ragged(first[long], size[long])] = np.concatenate(own)
+        return out, size
+
+    def _merge_long(self, word: np.ndarray) -> np.ndarray:
+        """ids of one long word, in time near its length.
+
+        The symbols are a linked list and the places of each rank wait in a
+        bucket; the lowest rank's places go together, leftmost first where they
+        overlap, and the pairs that this makes join their buckets. (One place at
+        a time for a vocabulary whose merges may rank before their parts.)
+        """
+        n = len(word)
+        sym = self.inner[word]
+        sym[-1] = self.last[word[-1]]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        buckets: dict[int, list] = {}
+        heap: list[int] = []
+
+        def offer(place: np.ndarray, rank: np.ndarray) -> None:
+            some = rank < _NONE
+            place, rank = place[some], rank[some]
+            if not len(rank):
+                return
+            order = np.argsort(rank, kind="stable")
+            place, rank = place[order], rank[order]
+            cuts = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+            for r, part in zip(rank[np.concatenate([[0], cuts])].tolist(), np.split(place, cuts)):
+                if r not in buckets:
+                    buckets[r] = []
+                    heapq.heappush(heap, r)
+                buckets[r].append(part)
+
+        offer(np.arange(n - 1), self.ranks(sym[:-1], sym[1:]))
+        while heap:
+            r = heapq.heappop(heap)
+            p = np.unique(np.concatenate(buckets.pop(r)))
+            p = p[(sym[p] == self.left[r]) & (after[p] < n)]
+            p = p[sym[after[p]] == self.right[r]]  # places whose pair has changed since are left out
+            if not len(p):
+                continue
+            if not self.ordered and len(p) > 1:
+                buckets[r] = [p[1:]]
+                heapq.heappush(heap, r)
+                p = p[:1]
+            chained = np.concatenate([[False], after[p[:-1]] == p[1:]])
+            if chained.any():  # of a run of overlapping pairs every other one goes
+                at = np.arange(len(p))
+                p = p[(at - np.maximum.accumulate(np.where(chained, 0, at))) % 2 == 0]
+            gone = after[p]
+            then = after[gone]
+            sym[p], sym[gone], after[p] = self.made[r], -1, then
+            inside = then < n
+            before[then[inside]] = p[inside]
+            behind = before[p]
+            place = np.concatenate([behind[behind >= 0], p[inside]])
+            offer(place, self.ranks(sym[place], sym[after[place]]))
+        return sym[sym >= 0]
+
+    def _merge_short(self, data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of words, all side by side, one merge of each word a round.
 
         A word's best pair may only change around a merge, so each round looks
         at the words that still have one and renews the ranks that touch it.
@@ -282,6 +358,8 @@ class Merger:
 
 
 _NONE = np.int64(1 << 30)
+#: words of more bytes are merged by buckets of ranks, one word at a time
+LONG_WORD = 256
 
 # -- the codec -------------------------------------------------------------------
 
