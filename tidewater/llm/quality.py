@@ -1,15 +1,18 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
-A logistic regression on surface statistics of the text (fitted on a bounded
-sample of labelled rows) gives each document's log Bayes factor for good
-against bad. Sites give the prior: the expected share of good documents of a
+A logistic regression on the text (fitted on a bounded sample of labelled rows)
+gives each document's log Bayes factor for good against bad. It sees surface
+statistics and two content scores: the mean log odds of the text's words and of its
+byte trigrams, from hashed counts by label. A document of the sample is scored with the
+counts of the other half of the sample, so its own label is not in its score. Sites give the prior: the expected share of good documents of a
 path is shrunk toward its host's, the host's toward the corpus, with pseudo
 counts estimated from how much sites differ beyond chance (method of moments).
 A labelled document counts with its label, others with the classifier's
 probability; a document's own share is taken out before it is judged.
 
-Scale: the text is read once and reduced to a dozen numbers a row; joins and
-grouped aggregates work on those rows only, and a hot host is one row per map
+Scale: the text is read once and reduced to some twenty numbers a row (the
+sample's texts are read once more for the counts, which are tables of fixed
+size); joins and grouped aggregates work on those rows only, and a hot host is one row per map
 task before the shuffle.
 """
 
@@ -20,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import SPACE, prepare, chunks, column_bytes, materialize, mix, span_hash, text_or_empty, word_spans
+from . import language_id
 
 FEATURES = ("letters", "capitals", "digits", "signs", "marks", "bars", "spaces", "log_words", "word_length", "repeats",
             "variety", "shouted", "lines")
+#: slots of the hashed words, and of the hashed byte trigrams
+WORDS, GRAMS = 1 << 16, language_id.FEATURES
 
 
 def surface(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -69,12 +75,74 @@ def surface(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.arrow_udf(T.ArrayType(T.DoubleType()))
-def surface_features(text: pa.Array) -> pa.Array:
-    data, off = column_bytes(text)
-    parts = [surface(part, po) for _, _, part, po in chunks(data, off)]
-    flat = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * len(FEATURES), pa.int32()), pa.array(flat.ravel()))
+def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words and byte trigrams of documents: (slot below WORDS + GRAMS, document)."""
+    starts, lens, first = word_spans(data, off)
+    word = (span_hash(data, starts, lens) >> np.uint64(48)).astype(np.int64)
+    gram = language_id._trigrams(data, off)
+    real = gram < GRAMS
+    docs = np.arange(len(off) - 1)
+    return (np.concatenate([word, WORDS + gram[real]]),
+            np.concatenate([np.repeat(docs, np.diff(first)), np.repeat(docs, np.diff(off))[real]]))
+
+
+class Content:
+    """Log odds of words and trigrams for good against bad: one column from all the sample, one without each half of it."""
+
+    def __init__(self, counts: np.ndarray, alpha: float = 0.5):
+        """``counts``: half, label, slot."""
+        self.table = np.zeros((WORDS + GRAMS, 3), np.float32)
+        for k, part in enumerate((counts.sum(axis=0), counts[1], counts[0])):
+            for a, b in ((0, WORDS), (WORDS, WORDS + GRAMS)):
+                share = (part[:, a:b] + alpha) / (part[:, a:b].sum(axis=1, keepdims=True) + alpha * (b - a))
+                self.table[a:b, k] = np.log(share[1] / share[0])
+
+    def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Six numbers a document: mean log odds of words and of trigrams by the three columns (0 where there are none)."""
+        n = len(off) - 1
+        out = np.zeros((n, 6))
+        slot, doc = tokens(data, off)
+        for kind, mask in enumerate((slot < WORDS, slot >= WORDS)):
+            size = np.maximum(np.bincount(doc[mask], minlength=n), 1)
+            for k in range(3):
+                out[:, 2 * k + kind] = np.bincount(doc[mask], self.table[slot[mask], k], n) / size
+        return out
+
+
+def fit_content(sample: DataFrame) -> Content:
+    """Counts by half, label and slot of a bounded sample of rows (text, half, good); the driver gets the tables of fixed size."""
+
+    def count(batches):
+        table = np.zeros((2, 2, WORDS + GRAMS), np.int64)
+        for batch in batches:
+            half, good = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (1, 2))
+            data, off = column_bytes(batch.column(0))
+            for i, j, part, po in chunks(data, off):
+                slot, doc = tokens(part, po)
+                key = ((half[i:j] * 2 + good[i:j]) * (WORDS + GRAMS))[doc] + slot
+                table += np.bincount(key, minlength=table.size).reshape(table.shape)
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(table.ravel()[at])], names=["at", "n"])
+
+    got = (sample.select("text", "half", "good").mapInArrow(count, "at long, n long")
+           .groupBy("at").agg(F.sum("n").alias("n")).toPandas())
+    counts = np.zeros(4 * (WORDS + GRAMS))
+    counts[got["at"].to_numpy(np.int64)] = got["n"].to_numpy(float)
+    return Content(counts.reshape(2, 2, -1))
+
+
+def _features(content: Content):
+    """A UDF: the FEATURES and the six content scores of a text."""
+    width = len(FEATURES) + 6
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def features(text: pa.Array) -> pa.Array:
+        data, off = column_bytes(text)
+        parts = [np.column_stack([surface(part, po), content.scores(part, po)]) for _, _, part, po in chunks(data, off)]
+        flat = np.concatenate(parts) if parts else np.zeros((0, width))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * width, pa.int32()), pa.array(flat.ravel()))
+
+    return features
 
 
 class Logistic:
@@ -119,8 +187,8 @@ def classify(df: DataFrame, labels: DataFrame, host: Column, path: Column, id_co
              text_col: str = "text", label_col: str = "quality", sample: int = 20_000, threshold: float = 0.5) -> DataFrame:
     """One row per row of ``df``: id, quality, evidence, host_prior, path_prior and keep.
 
-    The regression is fitted on at most about ``sample`` labelled documents,
-    chosen by a hash of the id (the documented bound); site counts cover all
+    The counts of words and the regression are fitted on at most about ``sample`` labelled
+    documents, chosen by a hash of the id (the documented bound); site counts cover all
     rows. A null host or path is a site of its own; a null or empty text has all
     features zero and is judged like others; a repeated id gives repeated rows,
     and several labels of an id count with their mean. Without labels of both
@@ -128,16 +196,24 @@ def classify(df: DataFrame, labels: DataFrame, host: Column, path: Column, id_co
     no rows. Other columns are not read.
     """
     prepare(df.sparkSession)
-    slim = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(host.cast("string"), F.lit("")).alias("host"),
-                     F.coalesce(path.cast("string"), F.lit("")).alias("path"),
-                     surface_features(text_or_empty(text_col)).alias("x"))
-    known = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("y"))
-             .dropna().groupBy("id").agg(F.avg("y").alias("y")))
-    rows = materialize(slim.join(known, "id", "left"), "quality-rows")
-    n = rows.where("y IS NOT NULL").count()
+    known = materialize(labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("y"))
+                        .dropna().groupBy("id").agg(F.avg("y").alias("y")), "quality-labels")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    n = texts.select("id").join(known, "id").count()
     scale = 1 << 20
     cut = int(scale * min(1.0, sample / max(n, 1)))
-    got = (rows.where("y IS NOT NULL").where(F.pmod(F.xxhash64("id"), F.lit(scale)) < cut).select("x", "y").toPandas())
+    chosen = F.pmod(F.xxhash64("id"), F.lit(scale)) < cut
+    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2))
+    content = fit_content(texts.where(chosen).join(known, "id").select("text", half.alias("half"), (F.col("y") >= 0.5).cast("long").alias("good")))
+
+    slim = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(host.cast("string"), F.lit("")).alias("host"),
+                     F.coalesce(path.cast("string"), F.lit("")).alias("path"),
+                     _features(content)(text_or_empty(text_col)).alias("f"))
+    k = len(FEATURES)
+    column = F.when(F.col("y").isNotNull() & chosen, 1 + half).otherwise(0)  # the scores of others' labels
+    x = F.concat(F.slice("f", 1, k), F.slice("f", (k + 1 + 2 * column).cast("int"), F.lit(2)))
+    rows = materialize(slim.join(known, "id", "left").select("id", "host", "path", "y", x.alias("x")), "quality-rows")
+    got = rows.where("y IS NOT NULL").where(chosen).select("x", "y").toPandas()
     y = got.y.to_numpy(float)
     if len(y) and 0 < (y >= 0.5).sum() < len(y):
         x = np.array(got.x.tolist(), float)
