@@ -519,6 +519,15 @@ def q_extract_summary(spark, sf):
     return incremental.extract_summary(_campaign_records(spark, sf), wms, "_parent")
 
 
+@register("fetch_since", """
+    SELECT CAST(o_custkey AS VARCHAR) AS parent_id, CAST(epoch(max(o_orderdate) - INTERVAL 1 DAY) AS BIGINT) AS since_epoch
+    FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01' GROUP BY o_custkey""")
+def q_fetch_since(spark, sf):
+    """SC-13: per account the epoch second from which the next fetch asks for campaigns."""
+    wms = incremental.watermarks(_staged_campaign_table(spark, sf, even_only=False), "AdAccountID")
+    return incremental.fetch_since(wms, incremental.CAMPAIGN_BUFFER)
+
+
 @register("date_chunks", """
     SELECT user_id, CAST(d AS DATE) AS chunk_since, least(CAST(d AS DATE) + 9, e) AS chunk_until
     FROM (SELECT user_id, min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events GROUP BY 1) r,
@@ -1143,6 +1152,39 @@ def q_skipped_parents(spark, sf):
     return _snapshot(spark, sf).read(SKIPPED.name, SKIPPED).select("Entity", "ParentID", "Reason")
 
 
+@register("extract_runs", """
+    WITH first AS (SELECT o_custkey, count(*) AS n, min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders
+                   WHERE o_orderdate < TIMESTAMP '1996-01-01' AND o_custkey % 2 = 0 GROUP BY 1),
+    second AS (SELECT o.o_custkey, count(*) AS n, min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders o LEFT JOIN first f ON o.o_custkey = f.o_custkey
+               WHERE f.hi IS NULL OR o.o_orderdate > f.hi - INTERVAL 1 DAY GROUP BY 1)
+    SELECT 'campaign' AS Entity, CAST(s.o_custkey AS VARCHAR) AS ParentID, CASE WHEN f.n IS NULL THEN 1 ELSE 2 END AS Runs,
+           CASE WHEN f.n IS NULL THEN 0 ELSE 1 END AS IncrementalRuns, CAST(coalesce(f.n, 0) + s.n AS BIGINT) AS RowsFetched,
+           least(coalesce(f.lo, s.lo), s.lo) AS FirstTime, greatest(coalesce(f.hi, s.hi), s.hi) AS LastTime
+    FROM second s LEFT JOIN first f ON s.o_custkey = f.o_custkey""")
+def q_extract_runs(spark, sf):
+    """AG-7 over two runs: old campaigns of every other account in full, then all of them, incrementally where the account is known."""
+    from dataclasses import replace
+
+    from tidewater.plans.pipeline import SUMMARIES, run_steps, step_campaign
+    orders = A.table(spark, sf, "orders")
+    old = orders.where((F.col("o_orderdate") < _ts(dt.datetime(1996, 1, 1))) & (F.col("o_custkey") % 2 == 0))
+    ctx = _job(spark, sf, [_campaign_pages(old, renumber=True)], run_id="1")
+    land_path = _scratch(spark, "landing")
+    _campaign_pages(orders, renumber=True).write.partitionBy("entity").parquet(land_path)
+    for run in (ctx, replace(ctx, landing=spark.read.parquet(land_path), run_id="2")):
+        run_steps(run, [("dimension_campaign", step_campaign)])
+    return incremental.merge_summaries(ctx.store.read(SUMMARIES.name, SUMMARIES))
+
+
+@register("empty_table", "SELECT o_orderkey, CAST(NULL AS VARCHAR) AS CampaignName FROM orders")
+def q_empty_table(spark, sf):
+    """SNK-5: a table that was never written reads as empty with its schema, so every order is a campaign yet to stage."""
+    from tidewater.sources.store import StagingStore
+    staged = StagingStore(spark, _scratch(spark, "staging")).read("Campaign")
+    orders = A.table(spark, sf, "orders").select("o_orderkey")
+    return orders.join(staged, F.col("o_orderkey") == F.col("CampaignID"), "left").where(F.col("CampaignID").isNull()).select("o_orderkey", "CampaignName")
+
+
 @register("landing_stream", """
     SELECT o_orderkey AS CampaignID, CAST(o_custkey AS VARCHAR) AS AdAccountID, CAST(NULL AS VARCHAR) AS CampaignName,
            o_orderpriority AS Objective, CAST(NULL AS VARCHAR) AS BuyingType, o_orderstatus AS Status,
@@ -1174,7 +1216,7 @@ def q_landing_stream(spark, sf):
 
 
 #: these run jobs while they are built, so their plans say little
-ROWS_ONLY = ("daily_staging", "landing_stream", "backfill_tables", "post_snapshot", "skipped_parents")
+ROWS_ONLY = ("daily_staging", "landing_stream", "backfill_tables", "post_snapshot", "skipped_parents", "extract_runs")
 
 # the projections with every column; they register themselves with the function above
 from tidewater.plans import column_queries  # noqa: E402, F401
