@@ -32,3 +32,13 @@ def test_a_filter_on_a_field_parses_no_record_again(spark):
     out = entities.ad_insights_daily(L.explode_pages(pages, RAW_AD_INSIGHT))
     assert [(r.AdID, r.Date, float(r.Spend)) for r in out.collect()] == [(1, dt.date(2024, 1, 2), 2.5)]
     assert not [line for line in plan_text(out, "extended").split("== Optimized")[1].split("\n") if "Filter" in line and "from_json" in line]
+
+
+def test_action_sum_and_numbers_keep_their_rules(spark):
+    texts = ["1.5", "none", "bad", "12d", "3f", "NaN", "nan", "inf", "-Infinity", "+INF", "5.", "", " 7 ", "1e3", "1e", "x", None]
+    want = [1.5, None, None, None, None, "nan", "nan", "inf", "-inf", "inf", 5.0, None, 7.0, 1000.0, None, None, None]
+    got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(number_keep_nan("t")).collect()]
+    assert [str(g) if g is not None and (g != g or abs(g) == float("inf")) else g for g in got] == want
+    rows = [(0, [("lead", "1"), ("lead", "bad"), ("click", "9"), ("lead", "2")]), (1, [("lead", "none")]), (2, []), (3, None), (4, [("lead", "NaN"), ("lead", "1")]), (5, [("lead", "true")])]
+    df = spark.createDataFrame(rows, "k int, a array<struct<action_type:string,value:string>>")
+    assert [r[0] for r in df.orderBy("k").select(action_sum("a", ["lead"])).collect()] == [3.0, None, None, None, None, 1.0]
