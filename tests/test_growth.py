@@ -42,3 +42,10 @@ def test_action_sum_and_numbers_keep_their_rules(spark):
     rows = [(0, [("lead", "1"), ("lead", "bad"), ("click", "9"), ("lead", "2")]), (1, [("lead", "none")]), (2, []), (3, None), (4, [("lead", "NaN"), ("lead", "1")]), (5, [("lead", "true")])]
     df = spark.createDataFrame(rows, "k int, a array<struct<action_type:string,value:string>>")
     assert [r[0] for r in df.orderBy("k").select(action_sum("a", ["lead"])).collect()] == [3.0, None, None, None, None, 1.0]
+
+
+def test_keys_of_a_wide_table_are_not_broadcast_by_a_guess(spark, tmp_path):
+    for name in ("old", "new"):
+        spark.range(50_000).select("id", *[F.lit(None).cast("string").alias(f"c{k}") for k in range(20)]).write.parquet(f"{tmp_path}/{name}")
+    new = loads.upsert(spark.read.parquet(f"{tmp_path}/old"), spark.read.parquet(f"{tmp_path}/new"), ["id"])
+    assert "Broadcast" not in plan_text(new) and new.count() == 50_000
