@@ -49,3 +49,20 @@ def test_keys_of_a_wide_table_are_not_broadcast_by_a_guess(spark, tmp_path):
         spark.range(50_000).select("id", *[F.lit(None).cast("string").alias(f"c{k}") for k in range(20)]).write.parquet(f"{tmp_path}/{name}")
     new = loads.upsert(spark.read.parquet(f"{tmp_path}/old"), spark.read.parquet(f"{tmp_path}/new"), ["id"])
     assert "Broadcast" not in plan_text(new) and new.count() == 50_000
+
+
+def test_record_text_is_not_shuffled_to_find_the_campaign(spark, tmp_path):
+    recs = [{"id": str(k), "campaign_id": c, "name": f"n{k}", "pacing_type": ["standard"], "targeting": {"age_min": k}}
+            for k, c in enumerate(["1", "2", "", None, "01", "1"])]
+    spark.range(1, 2).write.parquet(f"{tmp_path}/campaigns")
+    staged = spark.read.parquet(f"{tmp_path}/campaigns").withColumnRenamed("id", "CampaignID")
+    _pages(spark, "adset", *recs).write.parquet(f"{tmp_path}/pages")
+    out = entities.adset(L.explode_pages(spark.read.parquet(f"{tmp_path}/pages"), RAW_ADSET), staged)
+    assert {(r.AdSetID, r.PacingType, r.TargetingAgeMin) for r in out.collect()} == {(0, '["standard"]', 0), (5, '["standard"]', 5)}
+    spark.conf.set("spark.sql.debug.maxToStringFields", "500")
+    try:
+        plan = plan_text(out)
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    joins = re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", plan)
+    assert joins and not [j for j in joins if "_rec#" in j]
