@@ -66,3 +66,15 @@ def test_record_text_is_not_shuffled_to_find_the_campaign(spark, tmp_path):
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     joins = re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", plan)
     assert joins and not [j for j in joins if "_rec#" in j]
+
+
+def test_ordinals_join_only_the_buckets_after_a_first_one(spark, tmp_path):
+    rows = [(k % 3, v, v // 10) for k, v in enumerate([5, 12, 7, 33, 11, 9, 41, 8, 2])] + [(None, 3, 0), (None, 15, 1), (4, None, None), (4, 9, 0), (4, 1, 0)]
+    spark.createDataFrame(rows, "k int, v int, b int").write.parquet(f"{tmp_path}/t")
+    out = A.with_ordinal(spark.read.parquet(f"{tmp_path}/t"), ["k"], ["v"], F.col("b"), "n")
+    want = {}
+    for k, v, b in rows:
+        want.setdefault(k, []).append((v is not None, v or 0))
+    # a row without a bucket takes the first place and has no row
+    assert {(r.k, r.v, r.n) for r in out.collect()} == {(k, v, n) for k, vs in want.items() for n, (there, v) in enumerate(sorted(vs), 1) if there}
+    assert "LeftOuter" in plan_text(out)
