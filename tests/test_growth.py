@@ -78,3 +78,36 @@ def test_ordinals_join_only_the_buckets_after_a_first_one(spark, tmp_path):
     # a row without a bucket takes the first place and has no row
     assert {(r.k, r.v, r.n) for r in out.collect()} == {(k, v, n) for k, vs in want.items() for n, (there, v) in enumerate(sorted(vs), 1) if there}
     assert "LeftOuter" in plan_text(out)
+
+
+def _exchanged(df, column):
+    """How many exchanges of the plan carry the column."""
+    return len([c for c in re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", plan_text(df)) if f"{column}#" in c])
+
+
+def test_ordinals_move_a_row_once(spark, tmp_path):
+    rows = [("a" if k % 3 else None, k % 2, k, k // 4, f"p{k}") for k in range(20)]
+    spark.createDataFrame(rows, "k string, j int, v int, b int, payload string").write.parquet(f"{tmp_path}/t")
+    out = A.with_ordinal(spark.read.parquet(f"{tmp_path}/t"), ["k", "j"], ["v"], F.col("b"), "n")
+    assert out.columns == ["k", "j", "v", "b", "payload", "n"] and _exchanged(out, "payload") == 1
+    want = {(k, j, v, sum(r[:2] == (k, j) and r[2] <= v for r in rows)) for k, j, v, *_ in rows}
+    assert {(r.k, r.j, r.v, r.n) for r in out.collect()} == want
+
+
+def test_ad_set_pages_of_an_account_follow_its_orders(spark):
+    from tidewater.plans import queries as Q
+    day = dt.datetime(1995, 1, 1)
+    items = [(o, n, p, 1, float(p), 1.0, 0.0, 0.0, "A", "F", day) for o, n, p in
+             [(70_000, 1, 5), (70_000, 2, 4), (3, 1, 9), (3, 1, 8), (3, None, 7), (4, 1, 6), (None, 1, 2), (99, 1, 1)]]
+    li = spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double,"
+                                      " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    orders = spark.createDataFrame([(70_000, 1), (3, 1), (4, None), (None, 5), (8, 1)], "o_orderkey long, o_custkey long")
+    got = {(r.entity, r.parent_id, r.page_no): json.loads(r.body)["data"][0] for r in Q._account_adset_pages(li, orders).collect()}
+    assert {k: (r["id"], r["targeting"]["age_min"]) for k, r in got.items()} == {
+        ("adset", "act_1", 0): ("31", 8), ("adset", "act_1", 1): ("31", 9), ("adset", "act_1", 2): ("700001", 5),
+        ("adset", "act_1", 3): ("700002", 4), ("adset", None, 0): ("41", 6)}
+
+
+def test_code_that_hotspot_would_not_compile_is_not_generated(spark):
+    # a method of more than 8000 bytes of bytecode runs interpreted
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
