@@ -459,3 +459,55 @@ def test_short_items_are_found_with_their_substitutions(size):
         raw = " ".join(["so", *[f"x{k}" if k in changed else w for k, w in enumerate(item)], "end"]).encode()
         wh, first = decontam.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         assert block.hits(wh, first, 13, 0.8).get(0, {}).get(0) == (size, size - len(changed)), changed
+
+
+def test_line_records_are_small_and_whole():
+    import types
+
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(9)
+    texts = ["\n".join(" ".join(f"w{rnd.randrange(400)}" for _ in range(rnd.choice([6, 20, 40, 70, 90]))) for _ in range(5)) for _ in range(80)]
+    ranks, none = np.full(1 << line_dedup.RARITY_BITS, 9, np.uint8), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    run = line_dedup._prefixes(types.SimpleNamespace(value=ranks), types.SimpleNamespace(value=none), 4, 4, 5, 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1 << 41, (1 << 41) + 80)), pa.array(range(80)), pa.array(texts)], names=["id", "th", "text"])
+    sent = list(run([batch]))
+    size = sum(len(b) for x in sent for b in x.column(1).to_pylist())
+    sets = [frozenset(line.split(" ")) for t in texts for line in t.split("\n")]
+    want = sum(len(s) - -(-4 * len(s) // 5) + 1 for s in set(sets))
+    assert size < 36 * want                                  # 53 bytes each before
+    rows = line_dedup.unpack_blocks(np.concatenate([x.column(0).to_numpy() for x in sent]), [b for x in sent for b in x.column(1).to_pylist()])
+    assert len(rows["k"]) == want and sorted(set(rows["id"] - (1 << 41))) == list(range(80)) and set(rows["line"]) == set(range(5))
+    place = {(d + (1 << 41), n): sets[5 * d + n] for d in range(80) for n in range(5)}
+    assert all(len(place[i, n]) == m for i, n, m in zip(rows["id"].tolist(), rows["line"].tolist(), rows["n"].tolist()))
+    by_set = {k: (place[i, n], p, q) for k, i, n, p, q in zip(*(rows[c].tolist() for c in ("k", "id", "line", "parity", "parity2")))}
+    for (a, p, q), (b, r, s) in zip(by_set.values(), list(by_set.values())[1:]):       # bits differ in no more places than sets do
+        low, high = line_dedup.fold_parity(np.array([min(len(a), len(b))]), np.array([p ^ r], np.uint64), np.array([q ^ s], np.uint64))
+        assert int(np.bitwise_count(low)[0]) + int(np.bitwise_count(high)[0]) <= len(a ^ b)
+    ids = np.array([-5, 1 << 62, (1 << 63) - 1, 0])
+    wide = {"word": ids.view(np.uint64), "k": ids.view(np.uint64), "id": ids, "parity": ids.view(np.uint64), "parity2": ids.view(np.uint64),
+            "line": np.array([0, 1 << 20, 3, 70_000]), "n": np.array([80, 500, 100_000, 73]), "pos": np.array([1, 70, 20_000, 0]),
+            "flags": np.array([6, 2, 0, 4], np.uint8)}
+    back = line_dedup.unpack_blocks(*line_dedup.pack_blocks(wide, 1))
+    order, own = np.argsort(back["k"]), np.argsort(wide["k"])
+    assert all((back[c][order] == wide[c][own]).all() for c in ("id", "parity", "parity2", "line", "n", "pos"))
+    assert ((back["flags"] & 6)[order] == wide["flags"][own]).all()
+
+
+def test_lines_about_the_lengths_of_bitmaps(spark):
+    rnd = random.Random(11)
+    seen, rows, want = [], [], {}
+    for i in range(60):
+        size = rnd.choice([16, 18, 20, 21, 24, 60, 70, 72, 73, 80, 88])
+        words = [f"v{rnd.randrange(3000)}" for _ in range(size)]
+        near = rnd.sample(words, len(words))[:rnd.randint(-(-4 * size // 5) - 1, size)]
+        lines = [words, near + [f"n{i}"] * (i % 3 == 0)]
+        rows.append((i, "\n".join(" ".join(x) for x in lines)))
+        want[i] = []
+        for n, x in enumerate(map(frozenset, lines)):
+            if any(5 * len(x & v) >= 4 * len(x | v) for v in seen):
+                want[i].append(n)
+            seen.append(x)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in line_dedup.line_report(docs).collect()} == want

@@ -12,7 +12,7 @@ Rarity comes from exact word counts hashed into a table of fixed size, so it can
 be broadcast at any corpus size; a shared slot only makes the order less sharp,
 never wrong. A word that occurs once cannot be shared and is not sent.
 
-Scale: only words of prefixes (53 bytes each, packed) are shuffled, never texts;
+Scale: only words of prefixes (about 30 bytes each, packed) are shuffled, never texts;
 equal lines are one set. Words with many lines in their group are dealt to pairs
 of tiles, by the number of sets, not of lines. Of each line only the earliest few
 candidates of a group are written; where a line has more, the group's records are
@@ -26,6 +26,8 @@ equal sets are found by their key.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -189,7 +191,7 @@ def _lines(ranks, min_words: int, joining: int, num: int, den: int):
     return run
 
 
-#: a prefix word's record in the packed blocks that are shuffled, field by field
+#: a prefix word's record in the blocks of a group that later rounds read, field by field
 _RECORD = (("word", "<u8"), ("k", "<u8"), ("id", "<i8"), ("parity", "<u8"), ("parity2", "<u8"), ("line", "<u4"), ("n", "<u4"),
            ("pos", "<u4"), ("flags", "<u1"))
 _PACKED = np.dtype(list(_RECORD))
@@ -212,11 +214,100 @@ def unpack(blobs: list[bytes]) -> dict[str, np.ndarray]:
     return {name: np.ascontiguousarray(rows[name]) for name, _ in _RECORD}
 
 
+#: words of a set up to which 32, and 64, parity bits tell it from others; beyond that, 128 do
+_PARITY_32, _PARITY_64 = 20, 72
+
+
+def fold_parity(n: np.ndarray, parity: np.ndarray, parity2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bitmaps in as many bits as sets of n words have: halves laid on each other are the bitmap of half the length."""
+    wide = n > _PARITY_64
+    low, high = np.where(wide, parity, parity ^ parity2), np.where(wide, parity2, np.uint64(0))
+    return np.where(n > _PARITY_32, low, (low ^ low >> np.uint64(32)) & np.uint64(0xFFFFFFFF)), high
+
+
+#: head of a shuffled block: its smallest id, then layout and number of records by length of their parity bitmaps
+_HEAD = np.dtype([("base", "<i8"), ("layout", "<u2", 3), ("records", "<u4", 3)])
+#: numbers of a shuffled record that take as many bytes as the largest of its chunk needs
+_FITTED = ("id", "line", "n", "pos")
+
+
+@functools.cache
+def _layout(layout: int) -> np.dtype:
+    fitted = [(c, f"<u{1 << (layout >> 2 * i & 3)}") for i, c in enumerate(_FITTED)]
+    parity = ([("parity", "<u4")], [("parity", "<u8")], [("parity", "<u8"), ("parity2", "<u8")])[layout >> 8]
+    return np.dtype([("high", "<u4"), ("low", "<u2"), ("k", "<u8"), *parity, *fitted])
+
+
+def pack_blocks(cols: dict[str, np.ndarray], buckets: int) -> tuple[np.ndarray, list[bytes]]:
+    """Records as one block for each bucket of words that occurs: (buckets, blocks).
+
+    A block holds 48 bits of a word's hash (the bucket tells more), ids as
+    distances from the smallest, and places with the tile flags below them.
+    """
+    word = mix(cols["word"])
+    bucket = (word % np.uint64(buckets)).astype(np.int64)
+    kind = (cols["n"] > _PARITY_32).astype(np.int64) + (cols["n"] > _PARITY_64)
+    base = int(cols["id"].min())
+    fitted = {"id": cols["id"].view(np.uint64) - np.array(base).view(np.uint64), "line": cols["line"], "n": cols["n"],
+              "pos": cols["pos"] << 2 | (cols["flags"] >> 1).astype(np.int64)}
+    used, number = np.unique(bucket, return_inverse=True)
+    heads = np.zeros(len(used), _HEAD)
+    heads["base"] = base
+    parts = [heads.tobytes()]
+    for c in range(3):
+        rows = np.flatnonzero(kind == c)
+        rows = rows[np.argsort(number[rows], kind="stable")]
+        layout = c << 8
+        for i, name in enumerate(_FITTED):                      # 0 .. 3 for 1, 2, 4 or 8 bytes
+            layout |= (max(0, int(fitted[name][rows].max(initial=0)).bit_length() - 1) // 8).bit_length() << 2 * i
+        out = np.empty(len(rows), _layout(layout))
+        out["high"], out["low"] = word[rows] >> np.uint64(32), word[rows] >> np.uint64(16) & np.uint64(0xFFFF)
+        for name in out.dtype.names[2:]:
+            out[name] = (fitted if name in fitted else cols)[name][rows]
+        heads["layout"][:, c], heads["records"][:, c] = layout, np.bincount(number[rows], minlength=len(used))
+        parts.append(out.tobytes())
+    parts[0] = heads.tobytes()
+    width = [_HEAD.itemsize, *(_layout(int(x)).itemsize for x in heads["layout"][0])]
+    ends = [np.arange(1, len(used) + 1) * width[0], *(np.cumsum(heads["records"][:, c].astype(np.int64)) * width[c + 1] for c in range(3))]
+    cuts = [[0, *e.tolist()] for e in ends]
+    return used, [b"".join([part[cut[i]:cut[i + 1]] for part, cut in zip(parts, cuts)]) for i in range(len(used))]
+
+
+def unpack_blocks(buckets: np.ndarray, blobs: list[bytes]) -> dict[str, np.ndarray]:
+    """The records of some blocks, in any order; the word's hash is of its 48 bits and the bucket."""
+    heads = np.frombuffer(b"".join([b[:_HEAD.itemsize] for b in blobs]), _HEAD)
+    raw = memoryview(b"".join(blobs))
+    size = np.array([len(b) for b in blobs], np.int64)
+    at = np.cumsum(size) - size + _HEAD.itemsize
+    out: dict[str, list[np.ndarray]] = {name: [] for name, _ in _RECORD}
+    for c in range(3):
+        layouts, many = heads["layout"][:, c], heads["records"][:, c].astype(np.int64)
+        for layout in np.unique(layouts).tolist():
+            kind = _layout(layout)
+            some = np.flatnonzero(layouts == layout)
+            stop = at[some] + many[some] * kind.itemsize
+            rows = np.frombuffer(b"".join([raw[a:b] for a, b in zip(at[some].tolist(), stop.tolist())]), kind)
+            at[some] = stop
+            bucket, base = np.repeat(buckets[some], many[some]), np.repeat(heads["base"][some], many[some])
+            out["word"].append(rows["high"].astype(np.uint64) << np.uint64(32) | rows["low"].astype(np.uint64) << np.uint64(16)
+                               | bucket.astype(np.uint64) & np.uint64(0xFFFF))
+            out["k"].append(rows["k"])
+            out["id"].append((base.view(np.uint64) + rows["id"].astype(np.uint64)).view(np.int64))
+            out["parity"].append(rows["parity"].astype(np.uint64))
+            out["parity2"].append(rows["parity2"] if c == 2 else np.zeros(len(rows), np.uint64))
+            out["line"].append(rows["line"].astype(np.uint32))
+            out["n"].append(rows["n"].astype(np.uint32))
+            out["pos"].append((rows["pos"] >> 2).astype(np.uint32))
+            out["flags"].append(((rows["pos"] & 3) << 1).astype(np.uint8) | np.uint8(_ASKED))
+    return {name: np.concatenate(v) for name, v in out.items()}
+
+
 def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
     """Prefix words of the distinct sets of a chunk, each with its first place, size, position and parity bitmap.
 
     A frequent word's records go to all pairs of tiles that their tile is in;
-    records leave in packed blocks, one for each bucket of words.
+    records leave in packed blocks, one for each bucket of words. The bitmaps of
+    small sets are folded: fewer bits tell them apart as well.
     """
     def run(batches):
         hot_words, hot_tiles = hot.value
@@ -235,6 +326,7 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
                 second = (wh >> np.uint64(6) & np.uint64(1)) > 0
                 parity = np.bitwise_xor.reduceat(np.where(second, np.uint64(0), bit), bounds[:-1])
                 parity2 = np.bitwise_xor.reduceat(np.where(second, bit, np.uint64(0)), bounds[:-1])
+                parity, parity2 = fold_parity(n, parity, parity2)
                 mine = np.zeros(len(n), bool)
                 mine[first] = True
                 pos = np.arange(len(wh)) - np.repeat(bounds[:-1], n)
@@ -253,17 +345,11 @@ def _prefixes(ranks, hot, min_words: int, num: int, den: int, buckets: int):
                     tile = mix(word[copies] ^ mix((np.minimum(own, other) << 32 | np.maximum(own, other)).astype(np.uint64)))
                     flags = np.concatenate([flags[rest], ((own <= other) * _LEFT | (own == other) * _INNER).astype(np.uint8)])
                     line, pos, word = np.concatenate([line[rest], line[copies]]), np.concatenate([pos[rest], pos[copies]]), np.concatenate([word[rest], tile])
-                flags |= _ASKED
                 if not len(word):
                     continue
-                bucket = (mix(word) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, line = bucket[order], line[order]
-                cols = {"word": word[order], "k": key[line], "id": doc_id[line], "parity": parity[line], "parity2": parity2[line],
-                        "line": number[line], "n": n[line], "pos": pos[order], "flags": flags[order]}
-                cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                blobs = pack(cols, [*cut.tolist(), len(bucket)])
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "block"])
+                used, blobs = pack_blocks({"word": word, "k": key[line], "id": doc_id[line], "parity": parity[line], "parity2": parity2[line],
+                                           "line": number[line], "n": n[line], "pos": pos, "flags": flags}, buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "block"])
     return run
 
 
@@ -298,7 +384,8 @@ def _group_candidates(col: dict[str, np.ndarray], num: int, den: int, most: int)
         need = least_overlap(total, num, den)
         ok = np.flatnonzero(asked[x] & (pos[x] + need <= n[x]) & (pos[y] + need <= n[y]))
         x, y = x[ok], y[ok]
-        ok = _popcount(p[x] ^ p[y]) + _popcount(p2[x] ^ p2[y]) <= total[ok] - 2 * need[ok]
+        low, high = fold_parity(np.minimum(n[x], n[y]), p[x] ^ p[y], p2[x] ^ p2[y])
+        ok = _popcount(low) + _popcount(high) <= total[ok] - 2 * need[ok]
         xs.append(x[ok])
         ys.append(y[ok])
         held += len(xs[-1])
@@ -348,13 +435,16 @@ def _candidates(num: int, den: int, most: int):
     """
     def run(batches):
         for table in whole_groups(batches, ["bucket"], rows=1 << 30, size=4 << 20):
-            col = unpack(table.column("block").to_pylist())
+            col = unpack_blocks(table.column("bucket").to_numpy(), table.column("block").to_pylist())
             # groups in order, lines in corpus order; of equal sets from several tasks the earliest place stands for all
             order = _by_word_and_place(col)
             col = {c: v[order] for c, v in col.items()}
-            first = np.sort(np.unique(mix(col["word"] ^ mix(col["k"])), return_index=True)[1])
+            _, first, same = np.unique(mix(col["word"] ^ mix(col["k"])), return_index=True, return_inverse=True)
             if len(first) < len(order):
-                col = {c: v[first] for c, v in col.items()}
+                pos = np.full(len(first), np.iinfo(np.uint32).max, np.uint32)
+                np.minimum.at(pos, same, col["pos"])
+                by_place = np.argsort(first)
+                col = {c: v[first[by_place]] for c, v in col.items()} | {"pos": pos[by_place]}
             x, y, rank, more = _group_candidates(col, num, den, most)
             if not len(x):
                 continue
@@ -441,6 +531,13 @@ def _similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return both.where((num + den) * common >= num * (F.size("wx") + F.size("wy"))).select("x").distinct()
 
 
+def _few_similar(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """As ``_similar``, for pairs of a small part of the sets: only those are shuffled."""
+    pairs = materialize(pairs.select("x", "y").distinct(), "line-few-pairs")
+    keys = materialize(pairs.select(F.col("x").alias("k")).unionByName(pairs.select(F.col("y").alias("k"))).distinct(), "line-few-keys")
+    return _similar(pairs, sets.join(keys, "k", "left_semi"), num, den)
+
+
 def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5),
                 min_words: int = 1, most: int = 16) -> tuple[DataFrame, DataFrame]:
     """Documents (id, th: hash of the text, n_lines, words) and, of those that lose lines, id, th, ``removed`` (sorted line
@@ -490,8 +587,9 @@ def later_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     resolved = None
     while True:
         # most lines match one of their two earliest candidates; only the others' pairs are looked at further
-        matched = materialize(_similar(pairs.where("rank < 2"), sets, num, den), "line-matches")
-        rest = _similar(pairs.where("rank >= 2").join(matched, "x", "left_anti"), sets, num, den)
+        similar = _similar if resolved is None else _few_similar
+        matched = materialize(similar(pairs.where("rank < 2"), sets, num, den), "line-matches")
+        rest = _few_similar(pairs.where("rank >= 2").join(matched, "x", "left_anti"), sets, num, den)
         matched = materialize(matched.unionByName(rest), "line-matches-all")
         resolved = matched if resolved is None else resolved.unionByName(matched).distinct()
         left = materialize(pairs.where("more").select("x", "word").distinct().join(matched, "x", "left_anti"), "line-open")
